@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineagespark import constants as C
@@ -75,11 +75,12 @@ def date_interval(collection_date, as_of: str, collection_year=None, allow_futur
     )
 
 
-def normalise_dates(raw, service_start=None, service_end=None) -> Column:
+def add_normalised_dates(df: DataFrame, out: str, raw, service_start=None, service_end=None) -> DataFrame:
     """Source precedence for dates: the sample's own text, else the service's bounds.
 
     Text may be ``a/b``. Service bounds that cover exactly one year or month recover that
-    precision. Struct(collection_date, start, end, precision, dated).
+    precision. Adds Struct(collection_date, start, end, precision, dated). The two ends are staged as
+    columns so the planner evaluates each once.
     """
     raw = clean(raw)
     first = clean(service_start) if service_start is not None else F.lit("")
@@ -87,7 +88,9 @@ def normalise_dates(raw, service_start=None, service_end=None) -> Column:
     has_raw, is_pair = raw != "", raw.contains("/")
     low = _date_part(F.when(is_pair, F.trim(F.substring_index(raw, "/", 1))).when(has_raw, raw).otherwise(first))
     high = _date_part(F.when(is_pair, F.trim(F.regexp_replace(raw, "^[^/]*/", ""))).when(has_raw, raw).otherwise(last))
-    start, end = _start(low), _end(high)
+    staged = df.withColumns({"_raw": raw, "_low": low, "_start": _start(low), "_end": _end(high)})
+    raw, low, start, end = F.col("_raw"), F.col("_low"), F.col("_start"), F.col("_end")
+    has_raw, is_pair = raw != "", raw.contains("/")
     covers_year = (F.dayofyear(start) == 1) & (end == F.date_sub(F.add_months(start, 12), 1))
     covers_month = (F.dayofmonth(start) == 1) & (end == F.last_day(start))
     both = start.isNotNull() & end.isNotNull()
@@ -110,17 +113,18 @@ def normalise_dates(raw, service_start=None, service_end=None) -> Column:
         .when(start == end, iso(start))
         .otherwise(F.concat_ws("/", iso(start), iso(end)))
     )
-    return F.struct(
+    value = F.struct(
         F.when(has_raw, raw).otherwise(service_text).alias("collection_date"),
         F.when(precision != "invalid", start).alias("start"),
         F.when(precision != "invalid", end).alias("end"),
         precision.alias("precision"),
         (~precision.isin("missing", "invalid")).alias("dated"),
     )
+    return staged.withColumn(out, value).drop("_raw", "_low", "_start", "_end")
 
 
 def normalised_text_dates(raw) -> Column:
-    """:func:`normalise_dates` of the sample's own text alone."""
+    """The struct of :func:`add_normalised_dates` for the sample's own text alone."""
     raw = clean(raw)
     is_pair = raw.contains("/")
     low = _date_part(F.trim(F.substring_index(raw, "/", 1)))
@@ -139,10 +143,10 @@ def normalised_text_dates(raw) -> Column:
     )
 
 
-def sample_interval(collection_date, start, end, precision, as_of: str) -> Column:
+def add_sample_interval(df: DataFrame, out: str, collection_date, start, end, precision, as_of: str) -> DataFrame:
     """Validated interval: declared bounds first, and they must fit the declared precision.
 
-    Struct(status, reason, start, end, precision, year_min, year_max, midpoint_year, year).
+    Adds Struct(status, reason, start, end, precision, year_min, year_max, midpoint_year, year).
     """
     raw, precision = clean(collection_date), _col(precision)
     start_text, end_text = clean(start), clean(end)
@@ -150,11 +154,12 @@ def sample_interval(collection_date, start, end, precision, as_of: str) -> Colum
     whole_day = lambda text: F.when(F.length(text) == 10, text)
     low = F.when(declared, whole_day(start_text)).otherwise(F.trim(F.substring_index(raw, "/", 1)))
     high = F.when(declared, whole_day(end_text)).otherwise(F.trim(F.regexp_replace(raw, "^[^/]*/", "")))
-    lo, hi = _start(low), _end(high)
+    staged = df.withColumns({"_lo": _start(low), "_hi": _end(high), "_kind": _precision(low), "_declared": declared})
+    lo, hi, declared = F.col("_lo"), F.col("_hi"), F.col("_declared")
     found = (
         F.when(declared, F.coalesce(precision, F.when(lo == hi, "day").otherwise("interval")))
         .when(raw.contains("/"), "interval")
-        .otherwise(_precision(low))
+        .otherwise(F.col("_kind"))
     )
     fits = (
         F.when(found == "day", lo == hi)
@@ -170,9 +175,10 @@ def sample_interval(collection_date, start, end, precision, as_of: str) -> Colum
         .when(lo > F.lit(as_of).cast("date"), "future")
         .otherwise("valid")
     )
+    staged = staged.withColumns({"_status": status, "_found": found, "_lower": decimal_year(lo), "_upper": decimal_year(hi)})
+    status, found, lower, upper = F.col("_status"), F.col("_found"), F.col("_lower"), F.col("_upper")
     has_bounds = status.isin("valid", "future")
-    lower, upper = decimal_year(lo), decimal_year(hi)
-    return F.struct(
+    value = F.struct(
         status.alias("status"),
         F.when(status != "valid", F.concat(status, F.lit("_collection_date"))).alias("reason"),
         F.when(has_bounds, lo).alias("start"),
@@ -183,6 +189,7 @@ def sample_interval(collection_date, start, end, precision, as_of: str) -> Colum
         F.when(has_bounds, (lower + upper) / 2).alias("midpoint_year"),
         F.when(has_bounds, F.year(lo)).alias("year"),
     )
+    return staged.withColumn(out, value).drop("_lo", "_hi", "_kind", "_declared", "_status", "_found", "_lower", "_upper")
 
 
 def date_is_accepted(column) -> Column:

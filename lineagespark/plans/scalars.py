@@ -35,13 +35,10 @@ SELECT sample_id, CASE WHEN collection_date <> '' THEN collection_date WHEN k %
   NOT (collection_date IN ('unknown', 'not a date') OR (collection_date = '' AND k % 2 = 0)) AS dated
 FROM samples LEFT JOIN interval_of USING (sample_id)""", "samples interval_of")
 def normalise_dates(t):
-    df = t.samples.select(
-        "sample_id",
-        dates.normalise_dates(
-            "collection_date",
-            F.when(F.col("k") % 2 == 1, F.trunc("first_day", "MM").cast("string")),
-            F.when(F.col("k") % 2 == 1, F.last_day("first_day").cast("string")),
-        ).alias("d"),
+    odd = F.col("k") % 2 == 1
+    df = dates.add_normalised_dates(
+        t.samples, "d", "collection_date",
+        F.when(odd, F.trunc("first_day", "MM").cast("string")), F.when(odd, F.last_day("first_day").cast("string")),
     )
     return df.select(
         "sample_id", "d.collection_date", iso("d.start").alias("date_start"), iso("d.end").alias("date_end"),
@@ -68,9 +65,7 @@ SELECT sample_id, status, CASE WHEN status <> 'valid' THEN status || '_collectio
     + year(e) + (dayofyear(e) - 1) / dayofyear(make_date(year(e), 12, 31))) / 2, 6) END AS midpoint_year
 FROM v""", "dated interval_of")
 def sample_interval(t):
-    df = t.dated.select(
-        "sample_id", dates.sample_interval("collection_date", "date_start", "date_end", "date_precision", AS_OF).alias("i")
-    )
+    df = dates.add_sample_interval(t.dated, "i", "collection_date", "date_start", "date_end", "date_precision", AS_OF)
     return df.select(
         "sample_id", "i.status", "i.reason", F.col("i.precision").alias("date_precision"), iso("i.start").alias("date_start"),
         iso("i.end").alias("date_end"), F.round("i.midpoint_year", 6).alias("midpoint_year"),
