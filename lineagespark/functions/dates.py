@@ -52,27 +52,28 @@ def _date_part(text: Column) -> Column:
     return F.substring(text, 1, 10)
 
 
-def date_interval(collection_date, as_of: str, collection_year=None, allow_future: bool = False) -> Column:
-    """Interval struct of a simple partial date, null when unusable or after ``as_of``.
+def add_date_interval(df: DataFrame, out: str, collection_date, as_of: str | None, collection_year=None) -> DataFrame:
+    """Add the interval struct of a simple partial date: null when unusable or after ``as_of``.
 
-    Year and month need not be zero padded here; a full day must be ISO.
+    Year and month need not be zero padded here; a full day must be ISO. ``as_of=None`` keeps
+    future dates. Steps are staged as columns so the planner evaluates each once.
     """
     text = first_filled(collection_date, collection_year) if collection_year is not None else clean(collection_date)
-    text = F.regexp_replace(text, r"^(\d{1,4})-(\d)$", "$1-0$2")
-    text = F.when(text.rlike(r"^\d{1,3}(-\d\d)?$"), F.lpad(text, F.when(text.contains("-"), 7).otherwise(4), F.lit("0"))).otherwise(text)
-    start, end = _start(text), _end(text)
-    limit = F.lit("9999-12-31" if allow_future else as_of).cast("date")
-    return F.when(
-        start <= limit,
-        F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            _precision(text).alias("precision"),
-            decimal_year(start).alias("year_min"),
-            decimal_year(end).alias("year_max"),
-            F.year(start).alias("year"),
-        ),
+    df = df.withColumn("_t", F.regexp_replace(text, r"^(\d{1,4})-(\d)$", "$1-0$2"))
+    short = F.col("_t").rlike(r"^\d{1,3}(-\d\d)?$")
+    width = F.when(F.col("_t").contains("-"), 7).otherwise(4)
+    df = df.withColumn("_t", F.when(short, F.lpad("_t", width, F.lit("0"))).otherwise(F.col("_t")))
+    df = df.withColumns({"_s": _start(F.col("_t")), "_e": _end(F.col("_t"))})
+    value = F.struct(
+        F.col("_s").alias("start"),
+        F.col("_e").alias("end"),
+        _precision(F.col("_t")).alias("precision"),
+        decimal_year("_s").alias("year_min"),
+        decimal_year("_e").alias("year_max"),
+        F.year("_s").alias("year"),
     )
+    usable = F.col("_s").isNotNull() if as_of is None else F.col("_s") <= F.lit(as_of).cast("date")
+    return df.withColumn(out, F.when(usable, value)).drop("_t", "_s", "_e")
 
 
 def add_normalised_dates(df: DataFrame, out: str, raw, service_start=None, service_end=None) -> DataFrame:
@@ -82,15 +83,16 @@ def add_normalised_dates(df: DataFrame, out: str, raw, service_start=None, servi
     precision. Adds Struct(collection_date, start, end, precision, dated). The two ends are staged as
     columns so the planner evaluates each once.
     """
-    raw = clean(raw)
     first = clean(service_start) if service_start is not None else F.lit("")
     last = first_filled(service_end, first) if service_end is not None else first
+    df = df.withColumns({"_raw": clean(raw), "_first": first, "_last": last})
+    raw, first, last = F.col("_raw"), F.col("_first"), F.col("_last")
     has_raw, is_pair = raw != "", raw.contains("/")
     low = _date_part(F.when(is_pair, F.trim(F.substring_index(raw, "/", 1))).when(has_raw, raw).otherwise(first))
     high = _date_part(F.when(is_pair, F.trim(F.regexp_replace(raw, "^[^/]*/", ""))).when(has_raw, raw).otherwise(last))
-    staged = df.withColumns({"_raw": raw, "_low": low, "_start": _start(low), "_end": _end(high)})
-    raw, low, start, end = F.col("_raw"), F.col("_low"), F.col("_start"), F.col("_end")
-    has_raw, is_pair = raw != "", raw.contains("/")
+    staged = df.withColumns({"_low": low, "_high": high})
+    staged = staged.withColumns({"_start": _start(F.col("_low")), "_end": _end(F.col("_high"))})
+    low, start, end = F.col("_low"), F.col("_start"), F.col("_end")
     covers_year = (F.dayofyear(start) == 1) & (end == F.date_sub(F.add_months(start, 12), 1))
     covers_month = (F.dayofmonth(start) == 1) & (end == F.last_day(start))
     both = start.isNotNull() & end.isNotNull()
@@ -120,7 +122,7 @@ def add_normalised_dates(df: DataFrame, out: str, raw, service_start=None, servi
         precision.alias("precision"),
         (~precision.isin("missing", "invalid")).alias("dated"),
     )
-    return staged.withColumn(out, value).drop("_raw", "_low", "_start", "_end")
+    return staged.withColumn(out, value).drop("_raw", "_first", "_last", "_low", "_high", "_start", "_end")
 
 
 def normalised_text_dates(raw) -> Column:
@@ -148,13 +150,14 @@ def add_sample_interval(df: DataFrame, out: str, collection_date, start, end, pr
 
     Adds Struct(status, reason, start, end, precision, year_min, year_max, midpoint_year, year).
     """
-    raw, precision = clean(collection_date), _col(precision)
-    start_text, end_text = clean(start), clean(end)
+    df = df.withColumns({"_raw": clean(collection_date), "_from": clean(start), "_to": clean(end), "_said": _col(precision)})
+    raw, precision, start_text, end_text = F.col("_raw"), F.col("_said"), F.col("_from"), F.col("_to")
     declared = (start_text != "") | (end_text != "")
     whole_day = lambda text: F.when(F.length(text) == 10, text)
     low = F.when(declared, whole_day(start_text)).otherwise(F.trim(F.substring_index(raw, "/", 1)))
     high = F.when(declared, whole_day(end_text)).otherwise(F.trim(F.regexp_replace(raw, "^[^/]*/", "")))
-    staged = df.withColumns({"_lo": _start(low), "_hi": _end(high), "_kind": _precision(low), "_declared": declared})
+    staged = df.withColumns({"_low": low, "_high": high, "_declared": declared})
+    staged = staged.withColumns({"_lo": _start(F.col("_low")), "_hi": _end(F.col("_high")), "_kind": _precision(F.col("_low"))})
     lo, hi, declared = F.col("_lo"), F.col("_hi"), F.col("_declared")
     found = (
         F.when(declared, F.coalesce(precision, F.when(lo == hi, "day").otherwise("interval")))
@@ -189,7 +192,9 @@ def add_sample_interval(df: DataFrame, out: str, collection_date, start, end, pr
         F.when(has_bounds, (lower + upper) / 2).alias("midpoint_year"),
         F.when(has_bounds, F.year(lo)).alias("year"),
     )
-    return staged.withColumn(out, value).drop("_lo", "_hi", "_kind", "_declared", "_status", "_found", "_lower", "_upper")
+    return staged.withColumn(out, value).drop(
+        "_raw", "_from", "_to", "_said", "_low", "_high", "_lo", "_hi", "_kind", "_declared", "_status", "_found", "_lower", "_upper"
+    )
 
 
 def date_is_accepted(column) -> Column:

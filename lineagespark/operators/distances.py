@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lineagespark.functions.scopes import hashes_agree
 from lineagespark.functions.text import clean
+from lineagespark.session import durable
 
 TILE = 1024
 INT = "int"
@@ -185,8 +186,11 @@ def copies_of(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
     columns = [c for c in ("scope_id", "codes", "fingerprint") if c in profiles.columns]
     key = F.sha2(F.to_json(F.struct(*columns)), 256)
     keyed = profiles.withColumn("_key", key)
-    distinct = keyed.groupBy("_key").agg(
-        F.min("sample_id").alias("sample_id"), *[F.first(c).alias(c) for c in columns], F.count(F.lit(1)).alias("copies")
+    distinct = durable(
+        keyed.groupBy("_key").agg(
+            F.min("sample_id").alias("sample_id"), *[F.first(c).alias(c) for c in columns], F.count(F.lit(1)).alias("copies")
+        ),
+        "distinct",
     )
     members = keyed.select("_key", F.col("sample_id").alias("member")).join(distinct.select("_key", F.col("sample_id").alias("representative")), "_key")
     return distinct.drop("_key"), members.select("representative", F.col("member").alias("sample_id"))
@@ -228,7 +232,7 @@ def pair_distances(calls: DataFrame, min_overlap: float = 0.9, max_distance: flo
     Distinct profiles are compared once; copies are written out only at the end, where each
     row is one the caller asked for.
     """
-    profiles = encode_profiles(calls, locus_universe(calls, declared))
+    profiles = durable(encode_profiles(calls, locus_universe(calls, declared)), "profiles")
     distinct, members = copies_of(profiles)
     pairs = close_pairs(distinct.drop("copies"), min_overlap, max_distance, tile)
     return expand_copies(pairs, distinct, members, min_overlap)
@@ -316,7 +320,7 @@ def query_distances(queries: DataFrame, context: DataFrame, min_overlap: float,
     """
     both = queries.withColumn("_q", F.lit(True)).unionByName(context.withColumn("_q", F.lit(False)))
     roles = both.select("scope_id", "sample_id", "_q").distinct()
-    encoded = encode_profiles(both.drop("_q")).join(roles, ["scope_id", "sample_id"])
+    encoded = durable(encode_profiles(both.drop("_q")).join(roles, ["scope_id", "sample_id"]), "profiles")
     return encoded_query_distances(encoded.filter("_q"), encoded.filter("NOT _q"), min_overlap, nearest, tile)
 
 
@@ -390,6 +394,7 @@ def distance_maps(evidence: DataFrame, method: str = "cgmlst") -> tuple[DataFram
         evidence_number("distance").alias("distance"), raw.alias("raw"),
     )
     any_raw = rows.agg((F.count("raw") > 0).alias("use_raw"))
+    # One row, so the broadcast does not grow with the data.
     merged = rows.crossJoin(F.broadcast(any_raw)).withColumn("rank_value", F.when(F.col("use_raw"), F.col("raw")).otherwise(F.col("distance")))
     merged = merged.groupBy("sample_a", "sample_b").agg(
         F.min("distance").alias("distance"), F.max("distance").alias("_d"), F.min("rank_value").alias("rank_value"), F.max("rank_value").alias("_r")

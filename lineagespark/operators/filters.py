@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineagespark import constants as C
-from lineagespark.functions.dates import bounds, date_interval, date_is_accepted
+from lineagespark.functions.dates import add_date_interval, bounds, date_is_accepted
 from lineagespark.functions.text import _col, blank_to_null, clean, is_one_of
 
 
@@ -61,9 +61,8 @@ def dated_cohorts(df: DataFrame, cohort: list[str], as_of: str, minimum: int = 3
 
 def future_dates(df: DataFrame, as_of: str) -> DataFrame:
     """Audit of dates after ``as_of``, with the raw value kept."""
-    interval = date_interval("collection_date", as_of, allow_future=True)
-    late = F.coalesce(interval["start"] > F.lit(as_of).cast("date"), F.lit(False))
-    return df.filter(late).select("sample_id", "collection_date", F.lit("future_collection_date").alias("reason"))
+    dated = add_date_interval(df, "_i", "collection_date", None)
+    return dated.filter(F.col("_i.start") > F.lit(as_of).cast("date")).select("sample_id", "collection_date", F.lit("future_collection_date").alias("reason"))
 
 
 def self_eligible(calls: DataFrame, catalogue: DataFrame, min_overlap: float) -> DataFrame:

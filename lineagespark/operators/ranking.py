@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagespark import constants as C
-from lineagespark.functions.dates import date_interval
+from lineagespark.functions.dates import add_date_interval
 from lineagespark.functions.text import clean
 from lineagespark.operators.distances import query_distances
+from lineagespark.session import durable
 
 
 def split_roles(calls: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -20,7 +21,10 @@ def split_roles(calls: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def keep_smallest(df: DataFrame, group: list[str], value: str, tie_count: str | None = None) -> DataFrame:
-    """Rows at the group's smallest value, ties kept. Partial aggregate and join, no sort."""
+    """Rows at the group's smallest value, ties kept. Partial aggregates and joins, no sort.
+
+    ``df`` is read twice, so callers pass a stored or cheap table.
+    """
     best = df.groupBy(*group).agg(F.min(value).alias("_best"))
     kept = df.join(best, group).filter(F.col(value) == F.col("_best")).drop("_best")
     if tie_count:
@@ -34,13 +38,13 @@ def nearest_context(calls: DataFrame, samples: DataFrame, min_overlap: float, as
     An input without any comparable context keeps one row that says so.
     """
     queries, context = split_roles(calls, samples)
-    near = keep_smallest(query_distances(queries, context, min_overlap, nearest=1), ["query_id"], "allele_differences", "tied_neighbours")
-    interval = date_interval("collection_date", as_of)
-    late = date_interval("collection_date", as_of, allow_future=True)
-    facts = samples.select(
+    near = keep_smallest(durable(query_distances(queries, context, min_overlap, nearest=1), "nearest"), ["query_id"], "allele_differences", "tied_neighbours")
+    dated = add_date_interval(samples, "_i", "collection_date", None)
+    future = F.col("_i.start") > F.lit(as_of).cast("date")
+    facts = dated.select(
         F.col("sample_id").alias("context_id"), F.when(clean("country") != "", clean("country")).otherwise("Unknown").alias("country"),
-        "collection_date", interval["year"].alias("year"),
-        F.when(late.isNotNull() & interval.isNull(), "future_collection_date").when(interval.isNotNull(), "valid").otherwise("missing_or_invalid").alias("date_status"),
+        "collection_date", F.when(~future, F.col("_i.year")).alias("year"),
+        F.when(future, "future_collection_date").when(F.col("_i").isNotNull(), "valid").otherwise("missing_or_invalid").alias("date_status"),
     )
     everyone = samples.filter(F.col("origin").isin(C.FOCAL_ORIGINS)).select(F.col("sample_id").alias("query_id"))
     out = everyone.join(near.join(facts, "context_id"), "query_id", "left")
@@ -57,8 +61,7 @@ def top_with_ties(df: DataFrame, group: list[str], value: str, n: int) -> DataFr
     ``rank <= n`` lets Spark cut every partition to its own top before the shuffle.
     """
     ranked = df.withColumn("rank", F.rank().over(Window.partitionBy(*group).orderBy(value))).filter(F.col("rank") <= n)
-    ties = ranked.groupBy(*group, value).agg(F.count(F.lit(1)).alias("tied"))
-    return ranked.join(ties, [*group, value])
+    return ranked.withColumn("tied", F.count(F.lit(1)).over(Window.partitionBy(*group, value)))
 
 
 def nearest_within_tolerance(pairs: DataFrame, value: str, n: int, tolerance: float = 1e-12) -> DataFrame:
@@ -67,6 +70,7 @@ def nearest_within_tolerance(pairs: DataFrame, value: str, n: int, tolerance: fl
         pairs.select(F.col("sample_b").alias("sample_id"), F.col("sample_a").alias("other"), value)
     )
     order = Window.partitionBy("sample_id").orderBy(value, "other")
+    both = durable(both, "neighbours")
     cutoff = both.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= n).groupBy("sample_id").agg(F.max(value).alias("boundary"))
     return both.join(cutoff, "sample_id").filter(F.col(value) <= F.col("boundary") + tolerance)
 
@@ -120,6 +124,7 @@ def select_context(
     ``candidates(sample_id, <stratum>)``, ``screening(candidate, focal, distance, mismatch)``.
     Returns the selection with its reasons and a one-row audit.
     """
+    screening = durable(screening, "screening")
     annotated = candidates.join(nearest_focal(screening).withColumnRenamed("candidate", "sample_id"), "sample_id")
     order = Window.partitionBy("focal").orderBy("distance", "candidate")
     top = screening.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= nearest_per_focal)

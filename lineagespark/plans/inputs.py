@@ -92,7 +92,7 @@ class Inputs:
             "CASE WHEN doc_id % 19 = 0 THEN 'other' ELSE 'scgMLST629_S' END AS cglin_scheme",
             "CASE WHEN doc_id % 4 = 0 THEN 'v2' ELSE 'v1' END AS cglin_scheme_version",
             "CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN repeat('b', 64) ELSE repeat('a', 64) END AS database_sha256",
-            "CASE WHEN doc_id % 10 = 0 THEN 'input' ELSE 'context' END AS role",
+            "CASE WHEN doc_id % 27 = 0 THEN 'input' ELSE 'context' END AS role",
             "CASE WHEN doc_id % 2 = 0 THEN '11' ELSE '15' END AS mlst_st",
             "'Klebsiella pneumoniae' AS species",
         )
@@ -301,7 +301,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         CASE WHEN doc_id % 19 = 0 THEN 'other' ELSE 'scgMLST629_S' END AS cglin_scheme,
         CASE WHEN doc_id % 4 = 0 THEN 'v2' ELSE 'v1' END AS cglin_scheme_version,
         CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN repeat('b', 64) ELSE repeat('a', 64) END AS database_sha256,
-        CASE WHEN doc_id % 10 = 0 THEN 'input' ELSE 'context' END AS role,
+        CASE WHEN doc_id % 27 = 0 THEN 'input' ELSE 'context' END AS role,
         CASE WHEN doc_id % 2 = 0 THEN '11' ELSE '15' END AS mlst_st,
         'Klebsiella pneumoniae' AS species
       FROM documents LEFT JOIN labels USING (doc_id)"""),

@@ -17,7 +17,7 @@ SELECT sample_id, CAST(s AS VARCHAR) AS date_start, CAST(e AS VARCHAR) AS date_e
   round(year_min, 6) AS year_min, round(year_max, 6) AS year_max, CAST(y AS INTEGER) AS year
 FROM interval_of WHERE s <= DATE '2026-01-01'""", "interval_of")
 def date_interval(t):
-    df = t.samples.select("sample_id", dates.date_interval("collection_date", AS_OF).alias("i")).filter("i IS NOT NULL")
+    df = dates.add_date_interval(t.samples, "i", "collection_date", AS_OF).filter("i IS NOT NULL")
     return df.select(
         "sample_id", iso("i.start").alias("date_start"), iso("i.end").alias("date_end"), F.col("i.precision").alias("date_precision"),
         F.round("i.year_min", 6).alias("year_min"), F.round("i.year_max", 6).alias("year_max"), F.col("i.year").alias("year"),
