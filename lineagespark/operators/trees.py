@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lineagespark.functions.text import clean
 from lineagespark.operators.distances import tile_pairs
 from lineagespark.session import durable
 
@@ -110,3 +111,134 @@ def distance_date_correlation(paths: DataFrame, dates: DataFrame, tile: int = 51
     cov = F.col("n") * F.col("xy") - F.col("x") * F.col("y")
     spread = F.sqrt(F.col("n") * F.col("xx") - F.col("x") * F.col("x")) * F.sqrt(F.col("n") * F.col("yy") - F.col("y") * F.col("y"))
     return s.select(F.col("n").cast("bigint").alias("pairs"), F.when(spread > 0, cov / spread).alias("correlation"))
+
+
+def tree_problems(tree: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Rule violations of an edge table, and tips missing from or extra to ``expected(node)``."""
+    row = lambda df, problem: df.select("tree_id", "node", F.lit(problem).alias("problem"))
+    inner = tree.filter("parent IS NOT NULL")
+    repeated = tree.groupBy("tree_id", "node").count().filter("count > 1")
+    unnamed = tree.filter("is_tip AND (node IS NULL OR node = '')")
+    no_length = inner.filter("branch_length IS NULL OR isnan(branch_length)")
+    negative = inner.filter("branch_length < 0")
+    roots = tree.filter("parent IS NULL").groupBy("tree_id").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter("n > 1")
+    orphans = inner.select("tree_id", F.col("parent").alias("_p"), "node").join(tree.select("tree_id", F.col("node").alias("_p")), ["tree_id", "_p"], "left_anti")
+    childless = tree.filter("NOT is_tip").join(inner.select("tree_id", F.col("parent").alias("node")), ["tree_id", "node"], "left_anti")
+    out = row(repeated, "duplicate_node")
+    for df, name in ((unnamed, "unnamed_tip"), (no_length, "missing_length"), (negative, "negative_length"), (roots, "several_roots"), (orphans, "unknown_parent"), (childless, "childless_inner_node")):
+        out = out.unionByName(row(df, name))
+    if expected is not None:
+        tips = tree.filter("is_tip").select("tree_id", "node")
+        out = out.unionByName(row(expected.join(tips, "node", "left_anti").withColumn("tree_id", F.lit("")), "missing_tip"))
+        out = out.unionByName(row(tips.join(expected, "node", "left_anti"), "extra_tip"))
+    return out
+
+
+def _maximal(tree: DataFrame, closure: DataFrame, good: DataFrame) -> DataFrame:
+    """Nodes that are good while their parent is not: ``good(tree_id, node)``."""
+    parents = tree.select("tree_id", "node", "parent")
+    marked = good.join(parents, ["tree_id", "node"])
+    above = good.select("tree_id", F.col("node").alias("parent"))
+    return marked.join(above, ["tree_id", "parent"], "left_anti").select("tree_id", "node")
+
+
+def focal_clades(tree: DataFrame, closure: DataFrame, samples: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Maximal focal-only clades with their dates, patients and places.
+
+    ``samples(sample_id, origin, collection_date, patient_id, location)``.
+    """
+    focal = F.lower(clean("origin")) != "context"
+    tips = closure.join(samples.withColumn("node", F.col("sample_id")).select("node", focal.alias("focal")), "node")
+    counts = tips.groupBy("tree_id", "ancestor").agg(F.count(F.lit(1)).alias("n"), F.count_if("focal").alias("f"))
+    pure = counts.filter("n = f").select("tree_id", F.col("ancestor").alias("node"))
+    tops = _maximal(tree, closure, pure).withColumnRenamed("node", "ancestor")
+    members = closure.join(tops, ["tree_id", "ancestor"]).join(samples.withColumnRenamed("sample_id", "node"), "node")
+    return members.groupBy("tree_id", F.col("ancestor").alias("clade")).agg(
+        F.min("node").alias("first_sample"), F.count(F.lit(1)).alias("sample_count"), F.countDistinct(F.when(clean("patient_id") != "", F.col("patient_id"))).alias("patient_count"),
+        F.countDistinct("location").alias("locations"), F.min("collection_date").alias("first_date"), F.max("collection_date").alias("last_date"),
+        F.countDistinct("collection_date").alias("distinct_dates"),
+    ).withColumn("spans_periods", F.col("distinct_dates") >= 2)
+
+
+def clade_members(tree: DataFrame, closure: DataFrame, clades: DataFrame) -> DataFrame:
+    """``(tree_id, sample_id, group_id)`` of clades named by their node."""
+    tips = tree.filter("is_tip").select("tree_id", "node")
+    top = clades.select("tree_id", F.col("clade").alias("ancestor"))
+    return closure.join(top, ["tree_id", "ancestor"]).join(tips, ["tree_id", "node"], "left_semi").select("tree_id", F.col("node").alias("sample_id"), F.col("ancestor").alias("group_id"))
+
+
+def date_clusters(tree: DataFrame, closure: DataFrame, dates: DataFrame) -> DataFrame:
+    """Maximal clades whose dated tips share one date: ``(tree_id, cluster, sample_id, date)``.
+
+    ``dates(sample_id, date)``; tips without a row are left out.
+    """
+    tips = closure.join(dates.withColumnRenamed("sample_id", "node"), "node")
+    spread = tips.groupBy("tree_id", "ancestor").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    single = spread.filter("lo = hi").select("tree_id", F.col("ancestor").alias("node"))
+    tops = _maximal(tree, closure, single).withColumnRenamed("node", "ancestor")
+    return tips.join(tops, ["tree_id", "ancestor"]).select("tree_id", F.col("ancestor").alias("cluster"), F.col("node").alias("sample_id"), "date")
+
+
+def common_ancestor(closure: DataFrame, anchors: DataFrame, node_dates: DataFrame | None = None) -> DataFrame:
+    """Deepest node above every anchor of a set, and its date.
+
+    ``anchors(set_id, node)``; the deepest common ancestor is the nearest to any one anchor.
+    """
+    sizes = anchors.groupBy("set_id").agg(F.countDistinct("node").alias("n"), F.min("node").alias("one"))
+    above = anchors.distinct().join(closure, "node").groupBy("set_id", "tree_id", "ancestor").agg(
+        F.countDistinct("node").alias("have"), F.min(F.struct("node", "steps")).alias("first")
+    )
+    common = above.join(sizes, "set_id").filter("have = n")
+    best = common.groupBy("set_id", "tree_id").agg(F.min(F.struct(F.col("first.steps").alias("steps"), "ancestor")).alias("b"))
+    out = best.select("set_id", "tree_id", F.col("b.ancestor").alias("mrca"))
+    if node_dates is None:
+        return out
+    return out.join(node_dates.select(F.col("node").alias("mrca"), "numeric_date"), "mrca", "left")
+
+
+def restrict_tree(tree: DataFrame, closure: DataFrame, keep: DataFrame) -> DataFrame:
+    """The tree on a tip set: empty branches dropped, single-child nodes joined, lengths summed.
+
+    ``keep(view, node)`` holds the tips of each view; the view becomes the tree id.
+    """
+    live = closure.join(keep, "node").select("view", F.col("tree_id"), F.col("ancestor").alias("node")).distinct()
+    parents = tree.select("tree_id", "node", "parent", "is_tip")
+    kids = live.join(parents, ["tree_id", "node"]).filter("parent IS NOT NULL").groupBy("view", "tree_id", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("kids"))
+    kept = live.join(parents, ["tree_id", "node"]).join(kids, ["view", "tree_id", "node"], "left").filter("is_tip OR kids >= 2").select("view", "tree_id", "node", "is_tip")
+    kept = durable(kept, "kept")
+    above = closure.filter("steps > 0").join(kept.select("view", "tree_id", "node"), ["tree_id", "node"]).join(
+        kept.select("view", "tree_id", F.col("node").alias("ancestor")), ["view", "tree_id", "ancestor"]
+    )
+    nearest = above.groupBy("view", "node").agg(F.min(F.struct("steps", "ancestor", "length")).alias("b"))
+    return kept.join(nearest, ["view", "node"], "left").select(
+        F.col("view").alias("tree_id"), "node", F.col("b.ancestor").alias("parent"), F.coalesce("b.length", F.lit(0.0)).alias("branch_length"), "is_tip"
+    )
+
+
+def reroot(tree: DataFrame, closure: DataFrame, roots: DataFrame) -> DataFrame:
+    """The tree re-rooted on the branch of a tip, one copy per ``roots(new_id, tip)``.
+
+    A new root joins the tip (length zero) and its old parent (the whole branch). Edges on the
+    old root path turn round. An old root left with one child is joined.
+    """
+    path = roots.join(closure.withColumnRenamed("node", "tip"), "tip").select("new_id", "tree_id", "tip", F.col("ancestor").alias("node"), "steps")
+    # The tested roots are a handful by contract; every copy of the tree is asked for.
+    copies = tree.crossJoin(F.broadcast(roots))
+    edges = copies.join(path.select("new_id", "tree_id", "node", "steps"), ["new_id", "tree_id", "node"], "left")
+    off_path = edges.filter("steps IS NULL").select("new_id", "node", "parent", "branch_length", "is_tip")
+    new_root = roots.select("new_id", F.concat(F.lit("root@"), "tip").alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(0.0).alias("branch_length"), F.lit(False).alias("is_tip"))
+    tip = roots.select("new_id", F.col("tip").alias("node"), F.concat(F.lit("root@"), "tip").alias("parent"), F.lit(0.0).alias("branch_length"), F.lit(True).alias("is_tip"))
+    on_path = edges.filter("steps IS NOT NULL").select("new_id", "tip", "node", "parent", "branch_length", "steps")
+    flipped = on_path.filter("parent IS NOT NULL").select(
+        "new_id", F.col("parent").alias("node"), F.when(F.col("steps") == 0, F.concat(F.lit("root@"), F.col("tip"))).otherwise(F.col("node")).alias("parent"), "branch_length", F.lit(False).alias("is_tip")
+    )
+    out = durable(off_path.unionByName(new_root).unionByName(tip).unionByName(flipped), "rerooted")
+    kids = out.filter("parent IS NOT NULL").groupBy("new_id", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("kids"))
+    old_root = tree.filter("parent IS NULL").select("node")
+    lone = out.join(F.broadcast(old_root), "node").join(kids, ["new_id", "node"], "left").filter("coalesce(kids, 0) <= 1 AND NOT is_tip")
+    lone = lone.select("new_id", F.col("node").alias("_lone"), F.col("parent").alias("_up"), F.col("branch_length").alias("_len"))
+    gone = lone.select("new_id", F.col("_lone").alias("node"))
+    rest = out.join(gone, ["new_id", "node"], "left_anti").join(lone.withColumnRenamed("_lone", "parent"), ["new_id", "parent"], "left")
+    return rest.select(
+        F.col("new_id").alias("tree_id"), "node", F.coalesce("_up", "parent").alias("parent"), (F.col("branch_length") + F.coalesce("_len", F.lit(0.0))).alias("branch_length"), "is_tip"
+    )

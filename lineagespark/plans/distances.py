@@ -52,6 +52,13 @@ def pair_evidence(t):
     return out.select("sample_a", "sample_b", "reason", "allele_differences", "shared_called_loci", F.round("distance", 6).alias("distance"))
 
 
+def selection_profiles(t):
+    """Encoded profiles that pass their own overlap test."""
+    encoded = distances.encode_profiles(t.calls)
+    called = F.size(F.filter("codes", lambda c: c > 0))
+    return encoded.filter(called / F.size("codes") >= OVERLAP)
+
+
 @query("D2", """
 SELECT scope_id, sample_id, count(*) AS comparable, CAST(sum(diffs) AS BIGINT) AS allele_differences, CAST(sum(shared) AS BIGINT) AS shared_called_loci,
   round(min(distance), 9) AS min_distance, round(max(distance), 9) AS max_distance

@@ -430,7 +430,7 @@ def with_views(sql: str, uses: list[str]) -> str:
         visit(name)
     sql = sql.strip()
     if not ordered:
-        return sql
+        return "WITH RECURSIVE " + sql[5:] if sql.upper().startswith("WITH ") else sql
     head = ",\n".join(f"{n} AS ({VIEWS[n][1].strip()})" for n in ordered)
     if sql.upper().startswith("WITH "):
         return f"WITH RECURSIVE {head},\n{sql[5:]}"
