@@ -170,7 +170,7 @@ WITH {_EDGES}, vx AS (SELECT 'n' || n_nationkey AS v FROM nation), und AS (SELEC
  far AS (SELECT s, sum(d) AS far FROM (SELECT s, v, min(d) AS d FROM walk GROUP BY ALL) GROUP BY 1),
  dw AS (SELECT v AS s, v, 0 AS d FROM vx UNION SELECT s, target, d + 1 FROM dw JOIN ce ON source = v WHERE d < 12),
  dist AS (SELECT s, v, min(d) AS d FROM dw GROUP BY ALL),
- np AS (SELECT s, v, d, CAST(1 AS DOUBLE) AS paths FROM dist WHERE d = 0 UNION ALL SELECT x.s, x.target, x.d + 1, sum(x.paths) OVER (PARTITION BY x.s, x.target) FROM (SELECT np.s, np.d, np.paths, ce.target FROM np JOIN ce ON ce.source = np.v) x JOIN dist y ON y.s = x.s AND y.v = x.target AND y.d = x.d + 1),
+ np AS (SELECT s, v, d, CAST(1 AS DOUBLE) AS paths FROM dist WHERE d = 0 UNION SELECT x.s, x.target, x.d + 1, sum(x.paths) OVER (PARTITION BY x.s, x.target) FROM (SELECT np.s, np.d, np.paths, ce.target FROM np JOIN ce ON ce.source = np.v) x JOIN dist y ON y.s = x.s AND y.v = x.target AND y.d = x.d + 1),
  paths AS (SELECT DISTINCT s, v, d, paths FROM np),
  bt AS (SELECT m.v, sum(a.paths * b.paths / e.paths) AS betweenness FROM paths e JOIN paths a ON a.s = e.s JOIN paths b ON b.s = a.v AND b.v = e.v JOIN vx m ON m.v = a.v WHERE a.d + b.d = e.d AND a.v <> e.s AND a.v <> e.v GROUP BY 1),
  o AS (SELECT source AS v, count(*) AS od, sum(weight) AS ow FROM ce GROUP BY 1), i AS (SELECT target AS v, count(*) AS id, sum(weight) AS iw FROM ce GROUP BY 1)
