@@ -15,24 +15,18 @@ def parse_code(raw) -> Column:
 
     Unknown components may only follow the resolved prefix.
     """
-    text = clean(raw)
-    tokens = F.transform(F.split(text, "[_,]", -1), lambda t: F.trim(t))
-    numeric = lambda t: t.rlike("^[0-9]+$")
-    unknown = lambda t: t.isin("", "-", "?", "*") | t.rlike(r"^\*[A-Za-z0-9]+$")
-    first_gap = F.array_position(F.transform(tokens, numeric), False)
-    known = F.when(first_gap == 0, F.size(tokens)).otherwise(first_gap.cast("int") - 1)
-    tail = F.slice(tokens, known + 1, F.size(tokens) - known)
-    bad = (F.size(tokens) > C.LIN_COMPONENTS) | ~F.forall(tail, unknown)
-    missing = is_one_of(text, C.MISSING_LIN_CODE)
-    prefix = F.transform(F.slice(tokens, 1, known), lambda t: t.try_cast("bigint"))
-    nothing = F.array().cast("array<bigint>")
+    text = F.regexp_replace(clean(raw), r"\s*[_,]\s*", "_")
+    known = F.regexp_extract(text, r"^([0-9]+(?:_[0-9]+)*)(?:_|$)", 1)
+    unknown = r"(?:-|\?|\*[A-Za-z0-9]*)?"
+    form = rf"^(?:[0-9]+(?:_[0-9]+)*(?:_{unknown})*|{unknown}(?:_{unknown})*)$"
+    separators = F.length(text) - F.length(F.replace(text, F.lit("_"), F.lit("")))
+    missing = F.lower(text).isin(C.MISSING_LIN_CODE)
+    good = ~missing & text.rlike(form) & (separators < C.LIN_COMPONENTS)
+    prefix = F.when(good & (known != ""), F.split(known, "_").try_cast("array<bigint>"))
+    whole = text.rlike(rf"^[0-9]+(?:_[0-9]+){{{C.LIN_COMPONENTS - 1}}}$")
     return F.struct(
-        F.when(missing | bad, nothing).otherwise(prefix).alias("prefix"),
-        F.when(missing, "missing")
-        .when(bad, "malformed")
-        .when(known == C.LIN_COMPONENTS, "complete")
-        .otherwise("partial")
-        .alias("status"),
+        F.coalesce(prefix, F.array().cast("array<bigint>")).alias("prefix"),
+        F.when(missing, "missing").when(~good, "malformed").when(whole, "complete").otherwise("partial").alias("status"),
     )
 
 
@@ -40,7 +34,7 @@ def group_key(scheme, version, prefix, depth) -> Column:
     """Scoped full-prefix key at ``depth``; empty when the prefix is shorter."""
     prefix, depth = _col(prefix), depth if isinstance(depth, Column) else F.lit(depth)
     head = F.to_json(F.array(_col(scheme), _col(version)))
-    codes = F.concat_ws(",", F.transform(F.slice(prefix, 1, depth), lambda x: x.cast("string")))
+    codes = F.concat_ws(",", F.slice(prefix, 1, depth).cast("array<string>"))
     key = F.concat(F.substring_index(head, "]", 1), F.lit(",["), codes, F.lit("]]"))
     return F.when(F.size(prefix) >= depth, key).otherwise("")
 

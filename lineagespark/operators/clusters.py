@@ -21,9 +21,13 @@ from lineagespark.session import durable
 MAX_ROUNDS = 200
 
 
-def _state(edges: DataFrame):
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every vertex points at one root and no root points on: the fixed point."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    per = ends.groupBy("id").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    return not per.filter("out > 1 OR (out > 0 AND into > 0)").limit(1).count()
 
 
 def connected_components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
@@ -34,8 +38,9 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
     partial aggregates, and the join back carries one small row per vertex.
     """
     e = durable(edges.filter(F.col(left) != F.col(right)).select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).distinct(), "edges")
-    before = _state(e)
     for _ in range(MAX_ROUNDS):
+        if _is_forest_of_stars(e):
+            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = durable(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "large")
@@ -46,10 +51,6 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
             .unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
             "small",
         )
-        after = _state(e)
-        if after == before:
-            break
-        before = after
     else:
         raise RuntimeError("connected components did not settle")
     roots = e.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
@@ -252,32 +253,60 @@ def incomparable_pairs(profiles: DataFrame, min_overlap: float, tile: int = TILE
     return tile_pairs(profiles, "sample_id", _payload(profiles), kernel, "sample_a string, sample_b string", tile)
 
 
-def comparable_cohorts(profiles: DataFrame, min_overlap: float) -> DataFrame:
+def comparable_cohorts(profiles: DataFrame, min_overlap: float, task_pairs: int = 1_000_000) -> DataFrame:
     """First-fit cohorts in which every pair is comparable: ``(scope_id, sample_id, cohort_id)``.
 
     First fit in id order gives each sample the lowest number unused by its smaller
-    incomparable neighbours. A sample is settled once those are; rounds run until all are.
-    Cohorts are then numbered by their first member.
+    incomparable neighbours, so components of the incomparability graph are independent. A
+    component of bounded size is numbered in one task; larger ones by rounds that settle every
+    sample whose smaller neighbours are settled. Cohorts are numbered by their first member.
     """
     called = F.size(F.filter("codes", lambda c: c > 0))
     eligible = durable(profiles.filter((called > 0) & (called / F.size("codes") >= min_overlap)), "eligible")
     before = durable(incomparable_pairs(eligible, min_overlap).select("scope_id", F.col("sample_a").alias("smaller"), F.col("sample_b").alias("sample_id")), "before")
-    waiting = before.groupBy("scope_id", "sample_id").agg(F.count(F.lit(1)).alias("need"))
+    key = lambda c: F.concat_ws("\x01", "scope_id", c)
+    comp = connected_components(before.select(key("smaller").alias("a"), key("sample_id").alias("b"))).withColumnRenamed("id", "_k")
+    tagged = before.withColumn("_k", key("sample_id")).join(comp, "_k").drop("_k")
+    sizes = tagged.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    tagged = durable(tagged.join(sizes, "component"), "tagged")
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
+        used: dict[str, set] = {}
+        for low, high in zip(pdf["smaller"], pdf["sample_id"]):
+            used.setdefault(high, set()).add(low)
+            used.setdefault(low, set())
+        given: dict[str, int] = {}
+        for ident in sorted(used):
+            taken = {given[x] for x in used[ident]}
+            given[ident] = next(k for k in range(len(taken) + 1) if k not in taken)
+        return pd.DataFrame({"scope_id": pdf["scope_id"].iloc[0], "sample_id": list(given), "number": list(given.values())})
+
+    small = tagged.filter(F.col("n") <= task_pairs).groupBy("component").applyInPandas(number, "scope_id string, sample_id string, number int")
+    large = tagged.filter(F.col("n") > task_pairs).select("scope_id", "smaller", "sample_id")
+    numbered = small if large.isEmpty() else small.unionByName(_number_in_rounds(large))
     base = eligible.select("scope_id", "sample_id")
-    settled = durable(base.join(waiting, ["scope_id", "sample_id"], "left_anti").withColumn("number", F.lit(0)), "settled")
-    open_ = waiting
-    while not open_.isEmpty():
+    settled = durable(base.join(numbered, ["scope_id", "sample_id"], "left").withColumn("number", F.coalesce("number", F.lit(0))), "settled")
+    firsts = settled.groupBy("scope_id", "number").agg(F.min("sample_id").alias("first"))
+    # Cohorts are few; one sort numbers them.
+    numbered = firsts.withColumn("cohort_id", F.concat(F.lit("cohort_"), F.row_number().over(Window.orderBy("first"))))
+    return settled.join(numbered, ["scope_id", "number"]).select("scope_id", "sample_id", "cohort_id")
+
+
+def _number_in_rounds(before: DataFrame) -> DataFrame:
+    """First-fit numbers of ``(scope_id, smaller, sample_id)`` edges, one settled layer per round."""
+    before = durable(before, "before")
+    waiting = durable(before.groupBy("scope_id", "sample_id").agg(F.count(F.lit(1)).alias("need")), "waiting")
+    ends = before.select("scope_id", F.col("smaller").alias("sample_id")).unionByName(before.select("scope_id", "sample_id")).distinct()
+    settled = durable(ends.join(waiting, ["scope_id", "sample_id"], "left_anti").withColumn("number", F.lit(0)), "settled")
+    while not waiting.isEmpty():
         known = before.join(settled.withColumnRenamed("sample_id", "smaller"), ["scope_id", "smaller"])
         used = known.groupBy("scope_id", "sample_id").agg(F.count(F.lit(1)).alias("have"), F.array_sort(F.collect_set("number")).alias("used"))
-        ready = open_.join(used, ["scope_id", "sample_id"]).filter("have = need")
+        ready = waiting.join(used, ["scope_id", "sample_id"]).filter("have = need")
         free = F.array_min(F.array_except(F.sequence(F.lit(0), F.size("used")), "used"))
         now = durable(ready.select("scope_id", "sample_id", free.alias("number")), "ready")
         settled = durable(settled.unionByName(now), "settled")
-        open_ = durable(open_.join(now, ["scope_id", "sample_id"], "left_anti"), "open")
-    firsts = settled.groupBy("scope_id", "number").agg(F.min("sample_id").alias("first"))
-    # Cohorts are few; one sort numbers them.
-    numbered = firsts.withColumn("cohort_id", F.concat(F.lit("cohort_"), F.row_number().over(Window.orderBy("first"))))
-    return settled.join(numbered, ["scope_id", "number"]).select("scope_id", "sample_id", "cohort_id")
+        waiting = durable(waiting.join(now, ["scope_id", "sample_id"], "left_anti"), "waiting")
+    return settled
 
 
 def bootstrap_support(profiles: DataFrame, threshold: float, min_overlap: float, replicates: int, seed: int) -> DataFrame:

@@ -43,21 +43,26 @@ def encode_profiles(calls: DataFrame, universe: DataFrame | None = None) -> Data
     dictionary has one row per distinct allele, so it stays far smaller than the calls.
     """
     universe = universe if universe is not None else locus_universe(calls)
-    called = calls.filter("allele IS NOT NULL")
     order = Window.partitionBy("scope_id", "locus").orderBy("allele")
-    codes = called.select("scope_id", "locus", "allele").distinct().withColumn("code", F.row_number().over(order))
+    codes = calls.filter("allele IS NOT NULL").select("scope_id", "locus", "allele").distinct().withColumn("code", F.row_number().over(order))
     codes = codes.join(universe, ["scope_id", "locus"])
     sizes = universe.groupBy("scope_id").agg(F.count(F.lit(1)).cast(INT).alias("loci"))
-    cells = called.join(codes, ["scope_id", "locus", "allele"]).select("scope_id", "sample_id", F.struct("position", "code").alias("cell"))
-    sparse = cells.groupBy("scope_id", "sample_id").agg(F.collect_list("cell").alias("cells"))
-    everyone = calls.select("scope_id", "sample_id").distinct()
-    by_position = F.map_from_entries("cells")
-    dense = F.transform(F.sequence(F.lit(0), F.col("loci") - 1), lambda i: F.coalesce(F.try_element_at(by_position, i), F.lit(0)))
-    return (
-        everyone.join(sparse, ["scope_id", "sample_id"], "left").join(sizes, "scope_id")
-        .withColumn("cells", F.coalesce("cells", F.array().cast("array<struct<position:int,code:int>>")))
-        .select("scope_id", "sample_id", dense.alias("codes"))
-    )
+    cell = F.when(F.col("code").isNotNull(), F.struct("position", "code"))
+    sparse = calls.join(codes, ["scope_id", "locus", "allele"], "left").groupBy("scope_id", "sample_id").agg(F.collect_list(cell).alias("cells"))
+    rows = sparse.join(sizes, "scope_id").select("scope_id", "sample_id", "loci", F.col("cells.position").alias("at"), F.col("cells.code").alias("code"))
+
+    def spread(batches):
+        for batch in batches:
+            loci = batch.column("loci").to_numpy()
+            at, code = batch.column("at"), batch.column("code")
+            counts = np.diff(at.offsets.to_numpy())
+            starts = np.concatenate([[0], np.cumsum(loci)])
+            flat = np.zeros(int(starts[-1]), dtype=np.int32)
+            flat[np.repeat(starts[:-1], counts) + at.flatten().to_numpy()] = code.flatten().to_numpy()
+            dense = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("scope_id"), batch.column("sample_id"), dense], names=["scope_id", "sample_id", "codes"])
+
+    return rows.mapInArrow(spread, "scope_id string, sample_id string, codes array<int>")
 
 
 # -- tiling --------------------------------------------------------------------------------
@@ -65,10 +70,22 @@ def encode_profiles(calls: DataFrame, universe: DataFrame | None = None) -> Data
 
 def _blocked(df: DataFrame, ident: str, tile: int, name: str) -> DataFrame:
     """Add a block number inside the scope and the scope's number of blocks."""
-    sizes = df.groupBy("scope_id").agg(F.ceil(F.count(F.lit(1)) / tile).cast(INT).alias(name))
+    n = F.count(F.lit(1))
+    # At least eight blocks once a scope has a few hundred rows, so small inputs use all cores.
+    sizes = df.groupBy("scope_id").agg(F.greatest(F.ceil(n / tile), F.least(F.lit(8), F.ceil(n / 64))).cast(INT).alias(name))
     return df.join(sizes, "scope_id").withColumn("block", F.pmod(F.xxhash64(ident), F.col(name)).cast(INT))
 
 
+def _spread_tiles(df: DataFrame) -> DataFrame:
+    """One hash shuffle on the tile key with a fixed partition count.
+
+    Tiles are small but slow, so adaptive coalescing by bytes would run them in one task.
+    """
+    context = df.sparkSession.sparkContext
+    wanted = max(context.defaultParallelism * 2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(wanted, "scope_id", "bi", "bj")
+
+
 def tile_pairs(df: DataFrame, ident: str, payload: list[str], kernel, schema: str, tile: int = TILE) -> DataFrame:
     """Run ``kernel(left, right, same) -> dict of arrays`` on every unordered pair of blocks.
 
@@ -92,7 +109,7 @@ def tile_pairs(df: DataFrame, ident: str, payload: list[str], kernel, schema: st
         out = kernel(left, right, bi == bj)
         return _to_arrow(out, scope, names)
 
-    return keyed.groupBy("scope_id", "bi", "bj").applyInArrow(run, f"scope_id string, {schema}")
+    return _spread_tiles(keyed).groupBy("scope_id", "bi", "bj").applyInArrow(run, f"scope_id string, {schema}")
 
 
 def tile_cross(left: DataFrame, right: DataFrame, ident: str, payload: list[str], kernel, schema: str, tile: int = TILE) -> DataFrame:
@@ -117,7 +134,7 @@ def tile_cross(left: DataFrame, right: DataFrame, ident: str, payload: list[str]
             return _to_arrow({n: [] for n in names}, scope, names)
         return _to_arrow(kernel(l, r, False), scope, names)
 
-    return rows_a.unionByName(rows_b).groupBy("scope_id", "bi", "bj").applyInArrow(run, f"scope_id string, {schema}")
+    return _spread_tiles(rows_a.unionByName(rows_b)).groupBy("scope_id", "bi", "bj").applyInArrow(run, f"scope_id string, {schema}")
 
 
 def _to_arrow(columns: dict, scope, names: list[str]) -> pa.Table:

@@ -270,7 +270,7 @@ def read_clock_metrics(spark: SparkSession, path: str) -> DataFrame:
 
     A file that lacks the rate or R² keeps a row that says so.
     """
-    text = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
+    text = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     number = r"\s*([+-]?[0-9.]+(?:[eE][+-]?\d+)?)"
     pick = lambda pattern: F.regexp_extract("value", pattern, 1).try_cast("double")
     df = text.select(
