@@ -31,10 +31,11 @@ def profile_rows(t):
 
 _D1_SQL = """
 p AS (SELECT 'V' || a.vec_id AS x, 'V' || b.vec_id AS y, a.vec_id AS i, b.vec_id AS j, a.label % 3 AS s1, b.label % 3 AS s2 FROM embeddings a JOIN embeddings b ON b.vec_id = (a.vec_id * 7 + 1) % (SELECT count(*) FROM embeddings) AND a.vec_id <> b.vec_id),
-c AS (SELECT x, y, count(*) FILTER (WHERE a.allele IS NOT NULL AND b.allele IS NOT NULL) AS sh, count(*) FILTER (WHERE a.allele <> b.allele) AS df FROM p JOIN calls a ON a.sample_id = x JOIN calls b ON b.sample_id = y AND b.locus = a.locus GROUP BY ALL),
+c AS (SELECT x, y, CASE WHEN i % 17 = 0 THEN 63 ELSE 64 END AS nl, count(*) FILTER (WHERE a.allele IS NOT NULL AND b.allele IS NOT NULL) AS sh, count(*) FILTER (WHERE a.allele <> b.allele) AS df
+  FROM p JOIN calls a ON a.sample_id = x JOIN calls b ON b.sample_id = y AND b.locus = a.locus WHERE NOT (i % 17 = 0 AND a.locus = 'L63') GROUP BY ALL),
 r AS (SELECT p.*, sh, df, CASE WHEN (i % 13 = 0) <> (j % 13 = 0) THEN 'different_species' WHEN i % 19 = 0 OR j % 19 = 0 THEN 'profile_unavailable'
   WHEN i % 11 = 0 OR j % 11 = 0 OR s1 <> s2 OR (i % 3 <> 0 AND j % 3 <> 0 AND i % 2 <> j % 2) THEN 'incompatible_or_unversioned_scheme'
-  WHEN (i % 17 = 0) <> (j % 17 = 0) THEN 'incompatible_locus_set' WHEN sh / 64 < 0.92 THEN 'insufficient_called_overlap' END AS reason FROM p JOIN c USING (x, y) WHERE NOT (i % 17 = 0 AND j % 17 = 0))"""
+  WHEN (i % 17 = 0) <> (j % 17 = 0) THEN 'incompatible_locus_set' WHEN sh / nl < 0.92 THEN 'insufficient_called_overlap' END AS reason FROM p JOIN c USING (x, y))"""
 
 
 @query("D1", f"""
@@ -47,7 +48,7 @@ def pair_evidence(t):
     e = t.table("embeddings").select("vec_id")
     j = (F.col("vec_id") * 7 + 1) % n
     pairs = e.select(F.concat(F.lit("V"), "vec_id").alias("sample_a"), F.concat(F.lit("V"), j.cast("string")).alias("sample_b"), "vec_id", j.alias("j"))
-    pairs = pairs.filter("vec_id <> j AND NOT (vec_id % 17 = 0 AND j % 17 = 0)")
+    pairs = pairs.filter("vec_id <> j")
     out = distances.pair_evidence(pairs.select("sample_a", "sample_b"), profile_rows(t), OVERLAP)
     return out.select("sample_a", "sample_b", "reason", "allele_differences", "shared_called_loci", F.round("distance", 6).alias("distance"))
 
