@@ -42,9 +42,11 @@ def encode_profiles(calls: DataFrame, universe: DataFrame | None = None) -> Data
     Codes number the distinct alleles of each locus from one; zero means not called. The
     dictionary has one row per distinct allele, so it stays far smaller than the calls.
     """
-    universe = universe if universe is not None else locus_universe(calls)
+    # One distinct pass serves the loci and the codes.
+    dictionary = calls.select("scope_id", "locus", "allele").distinct()
+    universe = universe if universe is not None else locus_universe(dictionary)
     order = Window.partitionBy("scope_id", "locus").orderBy("allele")
-    codes = calls.filter("allele IS NOT NULL").select("scope_id", "locus", "allele").distinct().withColumn("code", F.row_number().over(order))
+    codes = dictionary.filter("allele IS NOT NULL").withColumn("code", F.row_number().over(order))
     codes = codes.join(universe, ["scope_id", "locus"])
     sizes = universe.groupBy("scope_id").agg(F.count(F.lit(1)).cast(INT).alias("loci"))
     cell = F.when(F.col("code").isNotNull(), F.struct("position", "code"))

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from lineagespark import constants as C
 from lineagespark.functions.dates import add_date_interval
 from lineagespark.functions.text import clean
-from lineagespark.operators.distances import query_distances
+from lineagespark.operators.distances import encode_profiles, encoded_query_distances
 from lineagespark.session import durable
 
 
-def split_roles(calls: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls of inputs and calls of context samples."""
-    side = lambda test: calls.join(samples.filter(test).select("sample_id"), "sample_id", "left_semi")
-    return side(F.col("origin").isin(C.FOCAL_ORIGINS)), side(F.col("origin") == "context")
+def role_distances(calls: DataFrame, samples: DataFrame, min_overlap: float, nearest: int | None = None) -> DataFrame:
+    """Evidence of every input against the context of its scope; calls are encoded once.
+
+    Roles are joined to the encoded rows, one per sample, not to the long calls.
+    """
+    encoded = durable(encode_profiles(calls), "profiles")
+    side = lambda test: encoded.join(samples.filter(test).select("sample_id"), "sample_id", "left_semi").select(*encoded.columns)
+    return encoded_query_distances(side(F.col("origin").isin(C.FOCAL_ORIGINS)), side(F.col("origin") == "context"), min_overlap, nearest)
 
 
 def keep_smallest(df: DataFrame, group: list[str], value: str, tie_count: str | None = None) -> DataFrame:
@@ -37,8 +41,7 @@ def nearest_context(calls: DataFrame, samples: DataFrame, min_overlap: float, as
 
     An input without any comparable context keeps one row that says so.
     """
-    queries, context = split_roles(calls, samples)
-    near = keep_smallest(durable(query_distances(queries, context, min_overlap, nearest=1), "nearest"), ["query_id"], "allele_differences", "tied_neighbours")
+    near = keep_smallest(durable(role_distances(calls, samples, min_overlap, nearest=1), "nearest"), ["query_id"], "allele_differences", "tied_neighbours")
     dated = add_date_interval(samples, "_i", "collection_date", None)
     future = F.col("_i.start") > F.lit(as_of).cast("date")
     facts = dated.select(

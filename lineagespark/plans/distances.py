@@ -217,8 +217,7 @@ SELECT query_id, context_id, CASE WHEN i % 10 <> 0 AND j % 10 <> 0 AND i % 6 = j
 FROM p""", "near")
 def candidate_evidence(t):
     """Lineage matches, reasons and priority of each query's three nearest candidates."""
-    q, c = ranking.split_roles(t.calls, t.profiles)
-    near = ranking.top_with_ties(distances.query_distances(q, c, OVERLAP, nearest=3), ["query_id"], "allele_differences", 3)
+    near = ranking.top_with_ties(ranking.role_distances(t.calls, t.profiles, OVERLAP, nearest=3), ["query_id"], "allele_differences", 3)
     pairs = near.select("query_id", "context_id")
     scope = scopes.typing_scope(F.lit("scgMLST629_S"), F.lit("v1"), F.lit(""))
     raw = F.expr("CASE WHEN vec_id % 10 = 0 THEN '' ELSE concat_ws('_', 1, 2, 3, 4, 5, 6, vec_id % 6) END")

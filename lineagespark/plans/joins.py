@@ -209,8 +209,7 @@ def scope_pairs(t):
 
 @query("J12", "SELECT query_id, context_id, diffs AS allele_differences, shared AS shared_called_loci FROM near", "near")
 def query_context(t):
-    q, c = ranking.split_roles(t.calls, t.profiles)
-    out = distances.query_distances(q, c, min_overlap=0.92)
+    out = ranking.role_distances(t.calls, t.profiles, min_overlap=0.92)
     return out.select("query_id", "context_id", "allele_differences", "shared_called_loci")
 
 

@@ -28,8 +28,7 @@ def nearest(t):
 WITH r AS (SELECT query_id, context_id, diffs, rank() OVER (PARTITION BY query_id ORDER BY diffs) AS rank FROM near)
 SELECT query_id, context_id, diffs AS allele_differences, rank, count(*) OVER (PARTITION BY query_id, diffs) AS tied FROM r WHERE rank <= 5""", "near")
 def top_five(t):
-    q, c = ranking.split_roles(t.calls, t.profiles)
-    near = distances.query_distances(q, c, OVERLAP, nearest=5).select("query_id", "context_id", "allele_differences")
+    near = ranking.role_distances(t.calls, t.profiles, OVERLAP, nearest=5).select("query_id", "context_id", "allele_differences")
     return ranking.top_with_ties(near, ["query_id"], "allele_differences", 5)
 
 
@@ -108,8 +107,7 @@ def context_selection(t):
 
 def ranked_evidence(t):
     """Evidence ranking per query: lineage matches first, then fewer differences."""
-    q, c = ranking.split_roles(t.calls, t.profiles)
-    near = distances.query_distances(q, c, OVERLAP, nearest=12)
+    near = ranking.role_distances(t.calls, t.profiles, OVERLAP, nearest=12)
     k = lambda col: F.col(col).substr(2, 20).cast("bigint")
     return near.select(
         "query_id", F.col("context_id").alias("sample_id"), F.when(k("query_id") % 6 == k("context_id") % 6, 0).otherwise(1).alias("tier"),
@@ -132,8 +130,7 @@ def quotas(t):
 
 
 def nearest_values(t):
-    q, c = ranking.split_roles(t.calls, t.profiles)
-    near = distances.query_distances(q, c, OVERLAP, nearest=3)
+    near = ranking.role_distances(t.calls, t.profiles, OVERLAP, nearest=3)
     return near.select("query_id", F.col("context_id").alias("sample_id"), F.col("allele_differences").alias("value"))
 
 
