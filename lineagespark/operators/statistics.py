@@ -25,7 +25,9 @@ def date_regression(points: DataFrame, cohort: list[str], x: str = "midpoint_yea
     px, py = F.when(usable, F.col(x)), F.when(usable, F.col(y))
     stats = points.groupBy(*cohort).agg(
         F.count(px).alias("n_points"), F.countDistinct(px).alias("n_distinct_dates"), F.count_if(~usable).alias("excluded"),
-        F.regr_slope(py, px).alias("_slope"), F.avg(px).alias("reference_year"), F.avg(py).alias("centered_intercept"), F.corr(px, py).alias("_r"),
+        F.regr_slope(py, px).alias("_slope"), F.avg(px).alias("reference_year"), F.avg(py).alias("centered_intercept"),
+        # The guarded R² never divides by a zero variance, which ANSI mode would raise on.
+        (F.signum(F.regr_slope(py, px)) * F.sqrt(F.regr_r2(py, px))).alias("_r"),
         (F.min(py) == F.max(py)).alias("_flat"),
     )
     fitted = (F.col("n_points") >= 3) & (F.col("n_distinct_dates") >= 3)
