@@ -14,7 +14,8 @@ KEYS = ["S1", "S2", "S6", "P3", "P11", "P28", "F3", "J3", "J5", "J9", "J13", "D1
 
 def test_every_id_is_registered():
     queries, sql = entry.queries(), entry.oracle_sql()
-    assert len(queries) == 182 and set(sql) <= set(queries)
+    own = [k for k in queries if k != "pipeline" and not k.startswith("op")]
+    assert len(own) == 182 and set(sql) <= set(queries)
 
 
 @pytest.mark.parametrize("key", KEYS)
