@@ -93,13 +93,25 @@ class Text:
 
 
 def own_range(anchors: np.ndarray, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last start of the windows that belong to each anchor; empty where last < first."""
-    before = np.concatenate([[-1], anchors[:-1]]) if len(anchors) else anchors
-    return np.maximum(before + 1, anchors - REACH), np.minimum(anchors, size - length)
+    """First and last start of the windows that belong to each anchor; empty where last < first.
+
+    A window belongs to its first anchor, if that is within reach and another one follows inside.
+    """
+    if not len(anchors):
+        return anchors, anchors
+    before = np.concatenate([[-1], anchors[:-1]])
+    after = np.concatenate([anchors[1:], [2 * size + length]])
+    return np.maximum(np.maximum(before + 1, anchors - REACH), after + GRAM - length), np.minimum(anchors, size - length)
+
+
+def needed(anchors: np.ndarray, starts: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
+    """The depth at which the anchors inside a window must repeat if the window does."""
+    inside = np.searchsorted(anchors, starts + length - GRAM, side="right") - 1 - owner
+    return np.minimum(np.floor(np.log2(np.maximum(inside, 1))), DOUBLINGS).astype(np.int64)
 
 
 def alone(anchors: np.ndarray, size: int, length: int) -> np.ndarray:
-    """Starts of windows without an anchor within reach."""
+    """Starts of windows that belong to no anchor."""
     first, last = own_range(anchors, size, length)
     edge = np.zeros(size - length + 2, np.int64)
     some = last >= first
@@ -113,9 +125,13 @@ def _raw(text: str | None) -> bytes:
 
 
 def _places(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """``(rank, doc, place)`` of every anchor with a next one, and of every window alone. A place is the text's check sum and a number."""
+    """``(rank, doc, place, need)`` of every anchor with a next one, and of every window alone.
+
+    A place is the text's check sum and a number; ``need`` is the least depth that any of the
+    anchor's windows asks for, 9 if it has none.
+    """
     for batch in batches:
-        ranks, docs, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        ranks, docs, places, needs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             raw = _raw(text)
             if len(raw) < length:
@@ -124,50 +140,79 @@ def _places(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             at, own = t.anchors(), (zlib.crc32(raw) & 0x7FFFFFFF) << 32
             lone = alone(at, t.size, length)
             ranks += [t.hash(at[:-1], at[1:] + GRAM), t.hash(lone, lone + length)]
-            number = np.concatenate([np.arange(max(len(at) - 1, 0)), ALONE + lone])
+            index = np.arange(max(len(at) - 1, 0))
+            first, last = (x[:-1] for x in own_range(at, t.size, length))
+            needs += [np.where(last >= first, needed(at, first, index, length), 9), np.zeros(len(lone), np.int64)]
+            number = np.concatenate([index, ALONE + lone])
             places.append(own + number)
             docs.append(np.full(len(number), doc, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).view(np.int64)) for c in (ranks, docs, places)], names=["rank", "doc", "place"])
+        yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c).view(np.int64)) for c in (ranks, docs, places)), pa.array(np.concatenate(needs).astype(np.int8))], names=["rank", "doc", "place", "need"])
 
 
-def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted ``(rank, doc, place)``, the rows whose rank occurs at another position, and the first and last row."""
-    held, held_equal = None, True
-    for batch in batches:
-        columns = [c.to_numpy() for c in batch.columns]
+def _again(keys: int, schema: pa.Schema):
+    """Of rows sorted by their first ``keys`` columns and then by position, those whose keys another position has too.
+
+    Adds ``repeated`` and ``edge``: the first and last row of the range come out in any case,
+    since their neighbours may lie in another task. Equal rows count as one position.
+    """
+    out = schema.append(pa.field("repeated", pa.bool_())).append(pa.field("edge", pa.bool_()))
+
+    def rows(columns, keep, repeated, edge):
+        return pa.RecordBatch.from_arrays([*(pa.array(c[keep], f.type) for c, f in zip(columns, schema, strict=True)), pa.array(repeated[keep]), pa.array(edge[keep])], schema=out)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row seen, whether it equals the one before, whether it is the first
+        for batch in batches:
+            columns, repeated_before, first = [c.to_numpy() for c in batch.columns], False, held is None
+            if held is not None:
+                columns = [np.concatenate([h, c]) for h, c in zip(held[0], columns, strict=True)]
+                repeated_before, first = held[1:]
+            if not len(columns[0]):
+                continue
+            differs = [c[1:] != c[:-1] for c in columns]
+            new = np.concatenate([[True], np.logical_or.reduce(differs)])
+            columns = [c[new] for c in columns]
+            equal = np.logical_and.reduce([c[1:] == c[:-1] for c in columns[:keys]])
+            repeated = np.concatenate([[repeated_before], equal]) | np.concatenate([equal, [False]])
+            edge = np.zeros(len(repeated), bool)
+            edge[0] = first
+            held = [c[-1:] for c in columns], bool(repeated[-1]), bool(edge[-1])
+            yield rows(columns, np.flatnonzero((repeated | edge)[:-1]), repeated, edge)
         if held is not None:
-            columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
-        rank, doc, place = columns
-        if not len(rank):
-            continue
-        new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (place[1:] != place[:-1]) | (rank[1:] != rank[:-1])])
-        rank, doc, place = rank[new], doc[new], place[new]
-        equal = rank[1:] == rank[:-1]
-        repeated = np.concatenate([[held_equal], equal]) | np.concatenate([equal, [False]])
-        held, held_equal = [c[-1:] for c in (rank, doc, place)], bool(repeated[-1])
-        keep = np.flatnonzero(repeated[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (rank, doc, place)], names=["rank", "doc", "place"])
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=["rank", "doc", "place"])
+            yield rows(held[0], np.zeros(1, np.int64), np.array([held[1]]), np.array([True]))
+
+    return task
+
+
+_RANKED = pa.schema([("rank", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("need", pa.int8())])
+_WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc", pa.int64()), ("sum", pa.int64()), ("start", pa.int64())])
+
+
+def _sorted_again(rows: DataFrame, keys: int, schema: pa.Schema) -> DataFrame:
+    """``_again`` over ranges of the sorted rows; a range may begin or end inside a key, so no key is too large for a task."""
+    order = schema.names
+    kinds = {pa.int64(): "long", pa.int8(): "byte"}
+    return rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_again(keys, schema), ", ".join(f"{f.name} {kinds[f.type]}" for f in schema) + ", repeated boolean, edge boolean")
 
 
 def _ranked(rows: DataFrame) -> DataFrame:
-    return rows.repartitionByRange("rank", "doc", "place").sortWithinPartitions("rank", "doc", "place").mapInArrow(_again, "rank long, doc long, place long")
+    return _sorted_again(rows, 1, _RANKED).select(*_RANKED.names)
 
 
 def prefix_doubling(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``(doc, place, depth)``: the depths (0 to DOUBLINGS) at which positions are not unique."""
-    now = written(_ranked(docs.select("doc", "text").mapInArrow(lambda it: _places(it, length), "rank long, doc long, place long")), "depth")
-    depths = [now.withColumn("depth", F.lit(0))]
+    """``(doc, place, depth)``: the greatest depth (0 to DOUBLINGS) at which a position is not unique, where its windows need no more."""
+    now = written(_ranked(docs.select("doc", "text").mapInArrow(lambda it: _places(it, length), "rank long, doc long, place long, need byte")), "depth")
+    depths = [now]
     for d in range(DOUBLINGS):
         here = now.filter(F.col("place").bitwiseAND(ALONE) == 0)
         there = here.select(F.col("rank").alias("_next"), "doc", (F.col("place") - (1 << d)).alias("place"))
-        now = written(_ranked(here.join(there, ["doc", "place"]).select(F.xxhash64("rank", "_next").alias("rank"), "doc", "place")), "depth")
-        depths.append(now.withColumn("depth", F.lit(d + 1)))
-    out = depths[0].select("doc", "place", "depth")
-    for more in depths[1:]:
-        out = out.unionByName(more.select("doc", "place", "depth"))
-    return out
+        now = written(_ranked(here.join(there, ["doc", "place"]).select(F.xxhash64("rank", "_next").alias("rank"), "doc", "place", "need")), "depth")
+        depths.append(now)
+    parts = [df.select("doc", "place", F.lit(d).alias("depth"), "need") for d, df in enumerate(depths)]
+    every = parts[0]
+    for more in parts[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("doc", "place").agg(F.max("depth").alias("depth"), F.max("need").alias("need")).filter("depth >= need").select("doc", "place", "depth")
 
 
 # -- stretches and windows -----------------------------------------------------------------------
@@ -188,9 +233,7 @@ class Candidates:
         #: Windows by anchor: the anchor's number and the window's start.
         self.owner = np.repeat(np.arange(len(at)), count)
         self.start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first, count)
-        inside = np.searchsorted(at, self.start + length - GRAM, side="right") - 1 - self.owner
-        need = np.minimum(np.floor(np.log2(np.maximum(inside, 1))), DOUBLINGS)
-        self.open = (inside < 1) | (known[self.owner] >= need)
+        self.open = known[self.owner] >= needed(at, self.start, self.owner, length)
 
     def stretches(self) -> tuple[np.ndarray, ...]:
         """(anchor, two hashes of the stretch its windows cover, hash of what follows the anchor)."""
@@ -305,9 +348,12 @@ def repeats(docs: DataFrame, firsts: DataFrame, length: int = LENGTH) -> DataFra
     unsure = kinds.groupBy("follows").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds")).filter("least = 1 AND kinds > 1").select("follows")
     asked = kinds.join(unsure, "follows").select("one.*").groupBy("doc", "sum").agg(F.collect_list("anchor").alias("asked"))
     ask = texts.join(asked, ["doc", "sum"], "left").filter(F.col("asked").isNotNull() | F.exists("found", lambda x: x >= 4 * ALONE))
-    windows = written(ask.mapInArrow(_window_task(length), "doc long, sum long, start long, w1 long, w2 long"), "windows")
-    known = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
-    single = windows.join(known, ["w1", "w2"]).groupBy("doc", "sum").agg(F.collect_list("start").alias("single"))
+    windows = ask.mapInArrow(_window_task(length), "doc long, sum long, start long, w1 long, w2 long")
+    # Sorted like the ranks; a row at the edge of a range is settled by the other edges, two rows a range.
+    windows = written(_sorted_again(windows, 2, _WINDOWS), "windows")
+    met = windows.filter("edge").groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w1", "w2")
+    twins = windows.filter("repeated").select("doc", "sum", "start").unionByName(windows.filter("edge AND NOT repeated").join(met, ["w1", "w2"]).select("doc", "sum", "start"))
+    single = twins.groupBy("doc", "sum").agg(F.collect_list("start").alias("single"))
     found = texts.select("doc", "sum", "text").join(sure, ["doc", "sum"], "left").join(single, ["doc", "sum"], "left").filter("sure IS NOT NULL OR single IS NOT NULL")
     result = written(found.mapInArrow(_removal_task(length), "doc long, sum long, n_removed long, n_spans long, kept_sha256 string"), "removed")
     forget(texts, stretches, kinds, windows)
