@@ -2,7 +2,7 @@
 
 Bytes covered by a string of ``LENGTH`` bytes that also starts elsewhere are removed. Sorting
 every position would move many times the input, so the suffix array is sparse: positions whose
-next ``GRAM`` bytes hash to a multiple of ``SPACING`` are anchors. Equal strings have the same
+next ``GRAM`` bytes hash below a bound, one in ``SPACING``, are anchors. Equal strings have the same
 anchors, and a window belongs to its first one.
 
 1. Rank anchors by the bytes up to the next anchor; Spark sorts (rank, position) by ranges that
@@ -87,9 +87,8 @@ class Text:
     def anchors(self) -> np.ndarray:
         if self.size < GRAM:
             return np.zeros(0, np.int64)
-        start = np.arange(self.size - GRAM + 1)
-        grams = self.hash(start, start + GRAM)
-        return np.flatnonzero((grams >> _U(32)) % _U(SPACING) == 0)
+        grams = (self.prefix[0][GRAM:] - self.prefix[0][:-GRAM]) * self.inverse[0][: self.size - GRAM + 1]
+        return np.flatnonzero(grams * _U(_BASES[1]) < _U((1 << 64) // SPACING))
 
 
 def own_range(anchors: np.ndarray, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,8 +198,11 @@ def _ranked(rows: DataFrame) -> DataFrame:
     return _sorted_again(rows, 1, _RANKED).select(*_RANKED.names)
 
 
-def prefix_doubling(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``(doc, place, depth)``: the greatest depth (0 to DOUBLINGS) at which a position is not unique, where its windows need no more."""
+def prefix_doubling(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, list[DataFrame]]:
+    """``(doc, place, depth)``: the greatest depth (0 to DOUBLINGS) at which a position is not unique, where its windows need no more.
+
+    Also returns the tables it reads from, to be deleted when it has been used.
+    """
     now = written(_ranked(docs.select("doc", "text").mapInArrow(lambda it: _places(it, length), "rank long, doc long, place long, need byte")), "depth")
     depths = [now]
     for d in range(DOUBLINGS):
@@ -212,7 +214,7 @@ def prefix_doubling(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     every = parts[0]
     for more in parts[1:]:
         every = every.unionByName(more)
-    return every.groupBy("doc", "place").agg(F.max("depth").alias("depth"), F.max("need").alias("need")).filter("depth >= need").select("doc", "place", "depth")
+    return every.groupBy("doc", "place").agg(F.max("depth").alias("depth"), F.max("need").alias("need")).filter("depth >= need").select("doc", "place", "depth"), depths
 
 
 # -- stretches and windows -----------------------------------------------------------------------
@@ -336,10 +338,11 @@ def repeats(docs: DataFrame, firsts: DataFrame, length: int = LENGTH) -> DataFra
 
     ``docs(doc, sum, text)``; ``firsts(doc, sum)`` name the texts that stand for their equals.
     """
-    depths = prefix_doubling(docs, length)
+    depths, used = prefix_doubling(docs, length)
     lists = depths.groupBy("doc", F.shiftright("place", 32).alias("sum")).agg(F.collect_list(F.col("place").bitwiseAND(0xFFFFFFFF) * 4 + F.col("depth")).alias("found"))
     lists = lists.join(firsts, ["doc", "sum"])
     texts = written(docs.select("doc", "sum", "text").join(lists, ["doc", "sum"]).dropDuplicates(["doc", "sum"]), "texts")  # only texts with a repeated piece
+    forget(*used)
 
     stretches = written(texts.mapInArrow(_stretch_task(length), "doc long, sum long, anchor long, s1 long, s2 long, follows long"), "stretches")
     here = F.struct("doc", "sum", "anchor")
