@@ -180,11 +180,11 @@ def components(sets):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("few", [op04_jaccard.FEW_PAIRS, 2])
+@pytest.mark.parametrize("few", [op04_jaccard.FEW_PAIRS, 20])
 def test_jaccard_components(spark, few, monkeypatch):
     monkeypatch.setattr(op04_jaccard, "FEW_PAIRS", few)
     rng, texts = random.Random(11), []
-    for n in (3, 5, 9, 20, 60, 150, 400):
+    for n in (3, 9, 60, 200):
         words = prose(rng, n).split()
         for edits in (0, 0, 1, 1, 2, 3, 4, 6, 8):
             copy = list(words)
@@ -334,4 +334,4 @@ def test_pipeline_stages(spark):
             assert docs.columns == columns
     assert rows["quality_rules"] < 200 and rows["packing"] == rows["mixing"] > 0
     for name, stage in corpus_pipeline.STAGES:
-        assert stage(spark, awkward(spark), SF).count() >= 0 and stage(spark, empty(spark), SF).count() == 0, name
+        assert stage(spark, awkward(spark), SF).count() > 0, name
