@@ -392,6 +392,22 @@ def pair_evidence(pairs: DataFrame, profiles: DataFrame, min_overlap: float) ->
     )
 
 
+def requested_evidence(requested: DataFrame, profiles: DataFrame, min_overlap: float) -> DataFrame:
+    """Counts of exactly the requested pairs ``(sample_a, sample_b)`` of encoded profiles.
+
+    Pairs of one scope get their counts whether or not enough loci are shared; ``distance`` is
+    null where they are not. Work and rows grow with the requests, not with all pairs.
+    """
+    side = lambda s: profiles.select(F.col("sample_id").alias(f"sample_{s}"), F.col("scope_id").alias(f"_scope_{s}"), F.col("codes").alias(f"_{s}"))
+    df = requested.filter("sample_a <> sample_b").join(side("a"), "sample_a").join(side("b"), "sample_b").filter("_scope_a = _scope_b")
+    both = F.filter(F.zip_with("_a", "_b", lambda x, y: F.when((x > 0) & (y > 0), x != y)), lambda c: c.isNotNull())
+    df = df.select("sample_a", "sample_b", both.alias("_both"), F.size("_a").alias("scheme_loci"))
+    df = df.withColumn("shared_called_loci", F.size("_both")).withColumn("allele_differences", F.size(F.filter("_both", lambda c: c)))
+    overlap = F.when(F.col("scheme_loci") > 0, F.col("shared_called_loci") / F.col("scheme_loci"))
+    enough = (F.col("shared_called_loci") > 0) & (overlap >= min_overlap)
+    return df.select("sample_a", "sample_b", "allele_differences", "shared_called_loci", "scheme_loci", overlap.alias("call_overlap"), F.when(enough, F.col("allele_differences") / F.nullif("shared_called_loci", F.lit(0))).alias("distance"))
+
+
 def callable_panel(calls: DataFrame) -> DataFrame:
     """Loci of each scope that every sample of the scope has called."""
     samples = calls.groupBy("scope_id").agg(F.countDistinct("sample_id").alias("samples"))

@@ -94,13 +94,13 @@ pp AS (SELECT a.scope_id, a.sample_id AS x, b.sample_id AS y, count(*) FILTER (W
 
 @query("D5", f"""
 WITH {_PANEL_SQL.strip()}
-SELECT x AS sample_a, y AS sample_b, round(d, 6) AS distance FROM pp WHERE d <= 0.4""", "calls")
+SELECT x AS sample_a, y AS sample_b, round(d, 6) AS distance FROM pp""", "calls")
 def fixed_panel(t):
-    """Close pairs on the loci that every sample of the scope has called."""
+    """Every pair on the loci that every sample of the scope has called."""
     even = F.col("locus").substr(2, 2).cast("int") % 2 == 0
     calls = t.calls.withColumn("allele", F.when(even, F.coalesce("allele", F.lit("9"))).otherwise(F.col("allele")))
     panel = calls.join(distances.callable_panel(calls), ["scope_id", "locus"], "left_semi")
-    out = distances.pair_distances(panel, min_overlap=1.0, max_distance=0.4)
+    out = distances.pair_distances(panel, min_overlap=1.0)
     return out.select("sample_a", "sample_b", F.round("distance", 6).alias("distance"))
 
 
@@ -198,11 +198,11 @@ def patristic(t):
 
 @query("D12", """
 SELECT a_id AS sample_a, b_id AS sample_b, CASE WHEN i % 7 = 0 THEN 'distance_does_not_reconcile' ELSE 'more_differences_than_shared' END AS problem
-FROM (SELECT *, CAST(substring(a_id, 2) AS BIGINT) AS i, CAST(substring(b_id, 2) AS BIGINT) AS j FROM good_pairs WHERE distance <= 0.42) WHERE i % 7 = 0 OR (i % 5 = 0 AND j % 5 = 0)
+FROM (SELECT *, CAST(substring(a_id, 2) AS BIGINT) AS i, CAST(substring(b_id, 2) AS BIGINT) AS j FROM good_pairs) WHERE i % 7 = 0 OR (i % 5 = 0 AND j % 5 = 0)
 UNION ALL SELECT scope_id, '', 'cohort_is_incomplete' FROM profiles GROUP BY scope_id""", "good_pairs profiles")
 def evidence_audit(t):
-    """Close pairs with planted faults against cohorts that demand every pair."""
-    pairs = distances.pair_distances(t.calls, OVERLAP, 0.42)
+    """Every pair with planted faults against cohorts that demand every pair."""
+    pairs = distances.pair_distances(t.calls, OVERLAP)
     i, j = (F.col(c).substr(2, 20).cast("bigint") for c in ("sample_a", "sample_b"))
     broken = pairs.withColumn("distance", F.when(i % 7 == 0, F.col("distance") / 2).otherwise(F.col("distance"))).withColumn(
         "allele_differences", F.when((i % 5 == 0) & (j % 5 == 0) & (i % 7 != 0), F.col("shared_called_loci") + 1).otherwise(F.col("allele_differences"))
@@ -243,11 +243,11 @@ def distance_date_correlation(t):
 
 
 @query("D15", """
-WITH e AS (SELECT a_id, b_id, distance, diffs, CAST(substring(a_id, 2) AS BIGINT) AS i FROM good_pairs WHERE distance <= 0.42)
+WITH e AS (SELECT a_id, b_id, distance, diffs, CAST(substring(a_id, 2) AS BIGINT) AS i FROM good_pairs)
 SELECT a_id AS sample_a, b_id AS sample_b, CASE WHEN i % 9 = 0 THEN NULL ELSE round(distance, 6) END AS distance, CASE WHEN i % 9 = 0 THEN NULL WHEN i % 4 <> 0 THEN CAST(diffs AS DOUBLE) END AS rank_value, CASE WHEN i % 9 = 0 THEN 'conflicting_distance_evidence' END AS reason FROM e""", "good_pairs")
 def distance_maps(t):
-    """Each close pair given in both directions; some directions disagree, some lack raw counts."""
-    p = distances.pair_distances(t.calls, OVERLAP, 0.42)
+    """Each pair given in both directions; some directions disagree, some lack raw counts."""
+    p = distances.pair_distances(t.calls, OVERLAP)
     i = F.col("sample_a").substr(2, 20).cast("bigint")
     raw = F.when(i % 4 != 0, F.col("allele_differences").cast("string"))
     forward = p.select(F.col("sample_a").alias("sample_id_1"), F.col("sample_b").alias("sample_id_2"), F.col("distance").cast("string").alias("distance"), raw.alias("allele_differences"))

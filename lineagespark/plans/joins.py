@@ -200,10 +200,10 @@ def level_counts(t):
 
 
 @query("J11", """
-SELECT a_id AS sample_a, b_id AS sample_b, diffs AS allele_differences, shared AS shared_called_loci FROM good_pairs WHERE distance <= 0.45""", "good_pairs")
+SELECT a_id AS sample_a, b_id AS sample_b, diffs AS allele_differences, shared AS shared_called_loci FROM good_pairs""", "good_pairs")
 def scope_pairs(t):
-    """Unordered in-scope pairs within a distance, from the tiled kernel."""
-    out = distances.pair_distances(t.calls, min_overlap=0.92, max_distance=0.45)
+    """Every comparable unordered in-scope pair, from the tiled kernel."""
+    out = distances.pair_distances(t.calls, min_overlap=0.92)
     return out.select("sample_a", "sample_b", "allele_differences", "shared_called_loci")
 
 

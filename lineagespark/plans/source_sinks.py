@@ -209,10 +209,10 @@ def bundle(t):
 
 
 @query("S15", """
-SELECT scope_id, count(*) AS pairs, CAST(sum(diffs) AS BIGINT) AS differences, 0 AS problems FROM good_pairs WHERE distance <= 0.5 GROUP BY 1""", "good_pairs")
+SELECT scope_id, count(*) AS pairs, CAST(sum(diffs) AS BIGINT) AS differences, 0 AS problems FROM good_pairs GROUP BY 1""", "good_pairs")
 def distance_bundle(t):
     path = scratch_path(t.spark, "distances")
-    pairs = distances.pair_distances(t.calls, OVERLAP, 0.5)
+    pairs = distances.pair_distances(t.calls, OVERLAP)
     sinks.write_distances(pairs, path, t.profiles.select("sample_id"), "cgmlst", "allele differences / shared called loci")
     loaded, problems = sinks.load_distances(t.spark, path, OVERLAP)
     n = problems.agg(F.count(F.lit(1)).alias("problems"))
@@ -231,15 +231,18 @@ def audit_csv(t):
 
 @query("S17", """
 WITH r AS (SELECT 'V' || a.vec_id AS x, CASE WHEN a.vec_id % 50 = 9 THEN 'nobody' ELSE 'V' || ((a.vec_id * 3 + 2) % (SELECT count(*) FROM embeddings)) END AS y FROM embeddings a)
-SELECT x AS sample_a, y AS sample_b, CASE WHEN y = 'nobody' THEN 'unknown_sample' WHEN p.diffs IS NULL THEN 'unavailable' ELSE 'available' END AS status, diffs AS allele_differences, shared AS shared_called_loci, round(distance, 6) AS distance
-FROM r LEFT JOIN (SELECT * FROM good_pairs WHERE distance <= 0.55) p ON p.a_id = least(x, y) AND p.b_id = greatest(x, y)""", "good_pairs")
+SELECT x AS sample_a, y AS sample_b, CASE WHEN y = 'nobody' THEN 'unknown_sample' WHEN p.overlap >= 0.92 THEN 'available' ELSE 'unavailable' END AS status,
+  CASE WHEN a.scope_id = b.scope_id AND x <> y THEN coalesce(diffs, 0) END AS allele_differences, CASE WHEN a.scope_id = b.scope_id AND x <> y THEN coalesce(shared, 0) END AS shared_called_loci,
+  CASE WHEN p.overlap >= 0.92 THEN round(distance, 6) END AS distance
+FROM r LEFT JOIN profiles a ON a.sample_id = x LEFT JOIN profiles b ON b.sample_id = y LEFT JOIN pairs p ON p.a_id = least(x, y) AND p.b_id = greatest(x, y)""", "pairs profiles")
 def requested_pairs(t):
     n = t.table("embeddings").count()
     requested = t.table("embeddings").select(
         F.concat(F.lit("V"), "vec_id").alias("sample_a"), F.when(F.col("vec_id") % 50 == 9, "nobody").otherwise(F.concat(F.lit("V"), ((F.col("vec_id") * 3 + 2) % n).cast("string"))).alias("sample_b")
     )
-    out = sinks.export_pairs(requested, t.profiles.select("sample_id"), distances.pair_distances(t.calls, OVERLAP, 0.55))
-    return out.withColumn("distance", F.round("distance", 6))
+    evidence = distances.requested_evidence(requested, distances.encode_profiles(t.calls), OVERLAP)
+    out = sinks.export_pairs(requested, t.profiles.select("sample_id"), evidence)
+    return out.drop("scheme_loci", "call_overlap").withColumn("distance", F.round("distance", 6))
 
 
 @query("S18", """

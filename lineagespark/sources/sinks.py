@@ -90,17 +90,16 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:
     flatten_for_text(df).write.mode("errorifexists").option("header", True).option("sep", delimiter).option("escape", '"').csv(path)
 
 
-def export_pairs(requested: DataFrame, samples: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exactly the requested pairs, each with its evidence or marked unavailable.
+def export_pairs(requested: DataFrame, samples: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Exactly the requested pairs, each with its counts and whether its distance is available.
 
-    Requests may name a pair in either order; unknown ids are marked too.
+    ``evidence(sample_a, sample_b, allele_differences, shared_called_loci, scheme_loci,
+    call_overlap, distance)`` answers the requests; unknown ids are marked.
     """
-    keyed = requested.withColumn("_x", F.least("sample_a", "sample_b")).withColumn("_y", F.greatest("sample_a", "sample_b"))
-    evidence = pairs.select(F.least("sample_a", "sample_b").alias("_x"), F.greatest("sample_a", "sample_b").alias("_y"), "allele_differences", "shared_called_loci", "distance")
     known = lambda c, n: samples.select(F.col("sample_id").alias(c), F.lit(True).alias(n))
-    joined = keyed.join(evidence, ["_x", "_y"], "left").join(known("sample_a", "_ka"), "sample_a", "left").join(known("sample_b", "_kb"), "sample_b", "left")
+    joined = requested.join(evidence.distinct(), ["sample_a", "sample_b"], "left").join(known("sample_a", "_ka"), "sample_a", "left").join(known("sample_b", "_kb"), "sample_b", "left")
     status = F.when(F.col("_ka").isNull() | F.col("_kb").isNull(), "unknown_sample").when(F.col("distance").isNull(), "unavailable").otherwise("available")
-    return joined.select("sample_a", "sample_b", status.alias("status"), "allele_differences", "shared_called_loci", "distance")
+    return joined.select("sample_a", "sample_b", status.alias("status"), "allele_differences", "shared_called_loci", "scheme_loci", "call_overlap", "distance")
 
 
 def combined_metadata(inputs: DataFrame, selected: DataFrame) -> DataFrame:
