@@ -68,7 +68,8 @@ def mandatory_members(nearest: DataFrame, pinned: DataFrame, count: int, method:
     """Pinned members, then every query's neighbours up to its tie-expanded cutoff.
 
     ``nearest(query_id, sample_id, value)``. Order is round robin: first neighbours of every
-    query, then second ones; every reason of a member is kept.
+    query, then second ones; every reason of a member is kept. ``pinned(sample_id)`` may carry
+    ``ord``, the order in which the user named the pins; without it they come by id.
     """
     by_value = Window.partitionBy("query_id").orderBy("value")
     kept = nearest.withColumn("_k", F.rank().over(by_value)).filter(F.col("_k") <= count)
@@ -77,12 +78,13 @@ def mandatory_members(nearest: DataFrame, pinned: DataFrame, count: int, method:
     reasons = kept.groupBy("sample_id").agg(
         F.min(F.struct("rank", "query_id")).alias("first"), F.array_sort(F.collect_list(F.struct("rank", "query_id", why.alias("why")))).alias("r")
     )
-    pins = pinned.select("sample_id").distinct().withColumn("pin", F.lit("user_requested"))
+    turn = F.min("ord") if "ord" in pinned.columns else F.lit(0)
+    pins = pinned.groupBy("sample_id").agg(turn.alias("pin_ord")).withColumn("pin", F.lit("user_requested"))
     both = reasons.join(pins, "sample_id", "full_outer")
     all_reasons = F.concat(F.when(F.col("pin").isNull(), F.array().cast("array<string>")).otherwise(F.array("pin")), F.coalesce(F.col("r.why"), F.array().cast("array<string>")))
     # The mandatory set is what a study must hold; its order is one sort of that set.
     position = F.row_number().over(
-        Window.orderBy(F.col("pin").isNull(), F.when(F.col("pin").isNull(), F.col("first.rank")), F.when(F.col("pin").isNull(), F.col("first.query_id")), "sample_id")
+        Window.orderBy(F.col("pin").isNull(), F.col("pin_ord").asc_nulls_last(), F.when(F.col("pin").isNull(), F.col("first.rank")), F.when(F.col("pin").isNull(), F.col("first.query_id")), "sample_id")
     )
     return both.select("sample_id", all_reasons.alias("reasons"), position.alias("ord"))
 

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lineagespark.functions.text import clean
 from lineagespark.operators.distances import _comparable, _payload, tile_pairs
 from lineagespark.session import durable
 
@@ -370,7 +371,7 @@ def scenario(samples: DataFrame, groups: DataFrame, signal: DataFrame, key: list
     context = F.lower("origin") == "context"
     s = samples.groupBy(*key).agg(
         F.count_if(~context).alias("focal"), F.count_if(context).alias("contexts"), F.countDistinct(F.when(~context, F.col("collection_date"))).alias("focal_dates"),
-        F.count_if(~context & (F.col("patient_id") == "")).alias("_uncoded"),
+        F.count_if(~context & (clean("patient_id") == "")).alias("_uncoded"),
     )
     g = groups.groupBy(*key).agg(F.count(F.lit(1)).alias("groups"), F.count_if(F.col("spans_periods") & (F.col("sample_count") >= 2)).alias("spanning_groups"))
     df = s.join(g, key, "left").join(signal, key, "left").na.fill(0, ["groups", "spanning_groups"])

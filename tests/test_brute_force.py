@@ -180,3 +180,27 @@ def test_record_bounds(spark):
     for _, name, length in rows:
         assert got[name] == (start, start + length - 1)
         start += length
+
+
+def test_pins_keep_the_users_order(spark):
+    from lineagespark.operators import selection
+
+    nearest = spark.createDataFrame([("q", "a", 0.1), ("q", "p", 0.2), ("q", "b", 0.2), ("q", "c", 0.9)], "query_id string, sample_id string, value double")
+    pinned = spark.createDataFrame([("z", 1), ("p", 2), ("z", 5), ("d", 3)], "sample_id string, ord int")
+    rows = selection.mandatory_members(nearest, pinned, 2).orderBy("ord").collect()
+    assert [r["sample_id"] for r in rows] == ["z", "p", "d", "a", "b"]
+    assert rows[1]["reasons"][0] == "user_requested" and len(rows[1]["reasons"]) == 2
+    assert [r["sample_id"] for r in selection.mandatory_members(nearest, pinned.select("sample_id"), 2).orderBy("ord").collect()] == ["d", "p", "z", "a", "b"]
+
+
+def test_patients_without_a_code_are_uncoded(spark):
+    from lineagespark.operators import statistics
+
+    samples = spark.createDataFrame(
+        [("x", "1", "local", "2020", None), ("y", "2", "local", "2020", "P1"), ("y", "3", "context", "2021", None), ("w", "4", "local", "2020", " ")],
+        "lineage string, sample_id string, origin string, collection_date string, patient_id string",
+    )
+    groups = spark.createDataFrame([("x", "c", 1, False)], "lineage string, clade string, sample_count int, spans_periods boolean")
+    signal = spark.createDataFrame([("x", True)], "lineage string, supported boolean")
+    got = {r["lineage"]: r["patient_sensitivity"] for r in statistics.scenario(samples, groups, signal, ["lineage"]).collect()}
+    assert got == {"x": "unavailable", "y": "supported", "w": "unavailable"}
