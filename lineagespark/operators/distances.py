@@ -352,15 +352,48 @@ def encoded_query_distances(queries: DataFrame, context: DataFrame, min_overlap:
             cutoff = np.partition(value, k, axis=1)[:, k]
             good = good & (value <= cutoff[:, None])
         i, j = np.nonzero(good)
-        loci = np.full(len(i), matrix_of(left, "codes").shape[1], dtype=np.int32)
-        take = lambda t, ix: pa.array(np.array(t["sample_id"].to_pylist(), dtype=object)[ix], pa.string())
-        return {
-            "query_id": take(left, i), "context_id": take(right, j), "allele_differences": pa.array(differences[i, j], pa.int32()),
-            "shared_called_loci": pa.array(shared[i, j], pa.int32()), "scheme_loci": pa.array(loci, pa.int32()),
-        }
+        return _query_rows(left, right, i, j, differences, shared)
+
+    return with_fractions(tile_cross(queries, context, "sample_id", _payload(queries), kernel, _QUERY_ROWS, tile))
+
+
+_QUERY_ROWS = "query_id string, context_id string, allele_differences int, shared_called_loci int, scheme_loci int"
+
 
-    schema = "query_id string, context_id string, allele_differences int, shared_called_loci int, scheme_loci int"
-    return with_fractions(tile_cross(queries, context, "sample_id", _payload(queries), kernel, schema, tile))
+def _query_rows(left, right, i, j, differences, shared) -> dict:
+    loci = np.full(len(i), matrix_of(left, "codes").shape[1], dtype=np.int32)
+    take = lambda t, ix: pa.array(np.array(t["sample_id"].to_pylist(), dtype=object)[ix], pa.string())
+    return {
+        "query_id": take(left, i), "context_id": take(right, j), "allele_differences": pa.array(differences[i, j], pa.int32()),
+        "shared_called_loci": pa.array(shared[i, j], pa.int32()), "scheme_loci": pa.array(loci, pa.int32()),
+    }
+
+
+def tiered_query_distances(queries: DataFrame, context: DataFrame, min_overlap: float, first: int, tile: int = TILE) -> DataFrame:
+    """Of each query the first rows by tier, distance, differences, most shared loci and id.
+
+    Encoded profiles with ``lineage``; ``tier`` is 0 where both sides have the same one, else 1.
+    A tile keeps its own ``first`` of each query, so the overall ones are always among these,
+    and the cut across tiles makes the result independent of them.
+    """
+
+    def kernel(left, right, same):
+        differences, shared, good, _ = _comparable(left, right, min_overlap)
+        x, y = (np.array(t["lineage"].to_pylist(), dtype=object) for t in (left, right))
+        tier = np.where((x[:, None] == y[None, :]) & (x != None)[:, None], 0, 1)  # noqa: E711
+        distance = differences / np.maximum(shared, 1)
+        place = np.argsort(np.argsort(np.array(right["sample_id"].to_pylist(), dtype=object)))
+        kept = []
+        for row in range(len(left)):
+            at = np.flatnonzero(good[row])
+            order = np.lexsort((place[at], -shared[row, at], differences[row, at], distance[row, at], tier[row, at]))
+            kept.append(at[order[:first]])
+        i, j = np.repeat(np.arange(len(left)), [len(k) for k in kept]), np.concatenate(kept)
+        return _query_rows(left, right, i, j, differences, shared) | {"tier": pa.array(tier[i, j], pa.int32())}
+
+    tiles = with_fractions(tile_cross(queries, context, "sample_id", [*_payload(queries), "lineage"], kernel, f"{_QUERY_ROWS}, tier int", tile))
+    order = Window.partitionBy("query_id").orderBy("tier", "distance", "allele_differences", F.desc("shared_called_loci"), "context_id")
+    return tiles.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= first).drop("_rank")
 
 
 def pair_evidence(pairs: DataFrame, profiles: DataFrame, min_overlap: float) -> DataFrame:

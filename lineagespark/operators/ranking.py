@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lineagespark import constants as C
 from lineagespark.functions.dates import add_date_interval
 from lineagespark.functions.text import clean
-from lineagespark.operators.distances import encode_profiles, encoded_query_distances
+from lineagespark.operators.distances import encode_profiles, encoded_query_distances, tiered_query_distances
 from lineagespark.session import durable
 
 
@@ -24,6 +24,13 @@ def role_distances(calls: DataFrame, samples: DataFrame, min_overlap: float, nea
     return encoded_query_distances(side(F.col("origin").isin(C.FOCAL_ORIGINS)), side(F.col("origin") == "context"), min_overlap, nearest)
 
 
+def tiered_role_distances(calls: DataFrame, samples: DataFrame, min_overlap: float, first: int) -> DataFrame:
+    """Per input its first context samples, those of its own ``samples.lineage`` (tier 0) before all others."""
+    encoded = durable(encode_profiles(calls), "profiles")
+    side = lambda test: encoded.join(samples.filter(test).select("sample_id", "lineage"), "sample_id")
+    return tiered_query_distances(side(F.col("origin").isin(C.FOCAL_ORIGINS)), side(F.col("origin") == "context"), min_overlap, first)
+
+
 def keep_smallest(df: DataFrame, group: list[str], value: str, tie_count: str | None = None) -> DataFrame:
     """Rows at the group's smallest value, ties kept. Partial aggregates and joins, no sort.
 

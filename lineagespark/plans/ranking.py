@@ -105,21 +105,22 @@ def context_selection(t):
     return chosen.select("sample_id", "min_distance", "selection_reason")
 
 
-def ranked_evidence(t):
+#: Samples of the priority pool. No more are picked, so no query needs more candidates.
+POOL = 40
+
+
+def ranked_evidence(t, first=POOL):
     """Evidence ranking per query: lineage matches first, then fewer differences."""
-    near = ranking.role_distances(t.calls, t.profiles, OVERLAP, nearest=12)
-    k = lambda col: F.col(col).substr(2, 20).cast("bigint")
-    return near.select(
-        "query_id", F.col("context_id").alias("sample_id"), F.when(k("query_id") % 6 == k("context_id") % 6, 0).otherwise(1).alias("tier"),
-        "distance", "allele_differences", (-F.col("shared_called_loci")).alias("neg_shared"),
-    )
+    samples = t.profiles.withColumn("lineage", (F.col("sample_id").substr(2, 20).cast("bigint") % 6).cast("string"))
+    near = ranking.tiered_role_distances(t.calls, samples, OVERLAP, first)
+    return near.select("query_id", F.col("context_id").alias("sample_id"), "tier", "distance", "allele_differences", (-F.col("shared_called_loci")).alias("neg_shared"))
 
 
 @query("W8")
 def priority_pool(t):
     """Queries take turns picking their best free candidate; the rest is balanced background."""
     candidates = t.profiles.filter("origin = 'context'").select("sample_id", "country", "collection_date")
-    return selection.priority_pool(ranked_evidence(t), candidates, ["country", "collection_date"], limit=40, seed=7)
+    return selection.priority_pool(ranked_evidence(t), candidates, ["country", "collection_date"], limit=POOL, seed=7)
 
 
 @query("W9", """

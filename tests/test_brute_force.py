@@ -2,12 +2,14 @@
 
 import itertools
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lineagespark.operators import clusters, distances, joins, network, selection, statistics, trees
+from lineagespark.plans import ranking as plans
 
 
 def profiles(spark, n=60, loci=12, alleles=3, seed=1, missing=0.05, copies=True):
@@ -109,6 +111,41 @@ def test_priority_turns(spark):
     assert got == want and len(out) == 12
 
 
+def test_priority_evidence_is_tier_first(spark):
+    """Thirteen closer strangers do not hide a candidate of the query's own lineage; tiles do not matter."""
+    rng = random.Random(9)
+    ids = ["Q6", "Q12", "Q1"] + [f"C{i}" for i in range(1, 80)]
+    calls = {s: [None if rng.random() < 0.03 else str(rng.randint(1, 2)) for _ in range(40)] for s in ids}
+    for s in ids[:2]:
+        calls[s] = ["1"] * 40
+    for i in range(1, 80):
+        if i % 6 and i < 40:
+            calls[f"C{i}"] = ["1"] * 40
+    rows = [("s", s, f"L{k:02d}", a) for s, cs in calls.items() for k, a in enumerate(cs)]
+    samples = spark.createDataFrame([(s, "local" if s[0] == "Q" else "context") for s in ids], "sample_id string, origin string")
+    inputs = SimpleNamespace(calls=spark.createDataFrame(rows, "scope_id string, sample_id string, locus string, allele string"), profiles=samples)
+
+    def best(q, first):
+        found = []
+        for c in ids[3:]:
+            both = [(a, b) for a, b in zip(calls[q], calls[c]) if a and b]
+            d = sum(a != b for a, b in both)
+            if len(both) / 40 >= plans.OVERLAP:
+                found.append((int(int(q[1:]) % 6 != int(c[1:]) % 6), d / len(both), d, -len(both), c))
+        return sorted(found)[:first]
+
+    got = {}
+    for r in plans.ranked_evidence(inputs).collect():
+        got.setdefault(r.query_id, []).append((r.tier, r.distance, r.allele_differences, r.neg_shared, r.sample_id))
+    assert {q: sorted(v) for q, v in got.items()} == {q: best(q, 40) for q in ids[:3]}
+    assert got["Q6"] and min(got["Q6"])[0] == 0
+    encoded = distances.encode_profiles(inputs.calls).withColumn("lineage", F.expr("string(substr(sample_id, 2) % 6)"))
+    query = F.col("sample_id").startswith("Q")
+    for tile in (7, 1024):
+        out = distances.tiered_query_distances(encoded.filter(query), encoded.filter(~query), plans.OVERLAP, 5, tile)
+        assert sorted((r.query_id, r.context_id) for r in out.collect()) == sorted((q, b[-1]) for q in ids[:3] for b in best(q, 5))
+
+
 TREE = [("root", None, 0.0), ("a", "root", 0.1), ("b", "root", 0.2), ("t1", "a", 0.1), ("t2", "a", 0.1), ("c", "b", 0.1), ("t3", "c", 0.1), ("t4", "c", 0.1), ("t5", "b", 0.3)]
 
 
