@@ -335,3 +335,28 @@ def test_pipeline_stages(spark):
     assert rows["quality_rules"] < 200 and rows["packing"] == rows["mixing"] > 0
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, awkward(spark), SF).count() > 0, name
+
+
+def test_pipeline_joins_five_word_shingles_at_80_percent(spark):
+    """Against brute force of its own; a text with a fifth more words goes, one with a third more stays."""
+    rng, texts = random.Random(21), []
+    for n in (60, 120, 200):
+        base = [f"w{rng.random()}" for _ in range(n)]
+        texts += [" ".join(base + [f"x{rng.random()}" for _ in range(n // k)]) for k in (n + 1, 5, 3)]
+        for edits in (1, 2, 3, 5, 8):
+            copy = list(base)
+            for _ in range(edits):
+                copy[rng.randrange(n)] = f"y{rng.random()}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    root = list(range(len(sets)))
+    for b in range(len(sets)):
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "s1", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"] for r in corpus_pipeline.jaccard_join(spark, docs, SF).collect()}
+    assert got == {i for i, r in enumerate(root) if i == r}
+    assert not got & {1, 9, 17} and got >= {2, 10, 18}
