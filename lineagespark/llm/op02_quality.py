@@ -19,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
+#: Bounds as (for long texts, most for any text); see ``bound``.
 #: Most characters (share of word characters) that the commonest n-gram may take.
-#: The bounds leave room for a short clean text that says one line of boilerplate twice.
-TOP_SHARE = {2: 0.30, 3: 0.28, 4: 0.26}
+TOP_SHARE = {2: (0.20, 0.30), 3: (0.18, 0.28), 4: (0.16, 0.26)}
 #: Most characters inside n-grams that occur more than once.
-REPEATED_SHARE = {5: 0.40, 6: 0.39, 7: 0.38, 8: 0.37, 9: 0.36, 10: 0.35}
+REPEATED_SHARE = {5: (0.15, 0.40), 6: (0.14, 0.39), 7: (0.13, 0.38), 8: (0.12, 0.37), 9: (0.11, 0.36), 10: (0.10, 0.35)}
 #: Most lines, and most characters in lines, that repeat an earlier line.
-LINE_SHARE, LINE_CHAR_SHARE = 0.50, 0.30
+LINE_SHARE, LINE_CHAR_SHARE = (0.30, 0.50), (0.20, 0.30)
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 SCHEMA = StructType([
@@ -84,6 +84,19 @@ def _top_share(number: np.ndarray, times: np.ndarray, n: int, ends: np.ndarray,
     return min(1.0, float(worth.max(initial=0)) / total)
 
 
+#: Words of a line of boilerplate and its first repeat, together, which every text may hold besides its share.
+LINE_TWICE = 28
+
+
+def bound(shares: tuple[float, float], size: int) -> float:
+    """The bound of a text of ``size`` words: the share of long texts and ``LINE_TWICE`` words more, up to the most for any text.
+
+    One line said twice is much of a short text and little of a long one.
+    """
+    long, most = shares
+    return min(most, long + LINE_TWICE / max(size, 1))
+
+
 def measure(text: str | None) -> tuple:
     """All counts and shares of one text, in the order of ``SCHEMA``."""
     text = text or ""
@@ -122,7 +135,7 @@ def measure(text: str | None) -> tuple:
             keys = rolling(values, n, prefix, powers)
             share = _top_share(*_groups(keys), n, ends, total) if len(keys) else 0.0
             top = max(top, share)
-            if share > most:
+            if share > bound(most, size):
                 reasons.append(f"top_{n}")
         for n, most in REPEATED_SHARE.items():
             keys = rolling(values, n, prefix, powers)
@@ -134,12 +147,12 @@ def measure(text: str | None) -> tuple:
             number, times = _groups(keys)
             share = int(chars[_covered(np.flatnonzero(times[number] > 1), n, size)].sum()) / total
             repeated = max(repeated, share)
-            if share > most:
+            if share > bound(most, size):
                 reasons.append(f"repeated_{n}")
     by_line, by_char = (dup_lines / lines, dup_line_chars / line_chars) if lines else (0.0, 0.0)
-    if by_line > LINE_SHARE:
+    if by_line > bound(LINE_SHARE, size):
         reasons.append("lines")
-    if by_char > LINE_CHAR_SHARE:
+    if by_char > bound(LINE_CHAR_SHARE, size):
         reasons.append("line_chars")
     return size, total, symbols, dup_lines, repeat, failed, top, repeated, by_line, by_char, not reasons, reasons[0] if reasons else None
 

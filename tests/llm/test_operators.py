@@ -128,6 +128,21 @@ def test_repetition_is_rejected_and_prose_kept():
         assert all((hashes[i] == hashes[j]) == (windows[i] == windows[j]) for i in range(len(windows)) for j in range(i))
 
 
+def test_quality_bounds_follow_the_length():
+    """A third of a long text in passages of its own is too much; a short text may say one line twice."""
+    rng = random.Random(8)
+    fresh = lambda n: " ".join(f"{rng.random():.6f}" for _ in range(n))
+    passages = [fresh(40) for _ in range(4)]
+    long = " ".join([fresh(320), *passages, fresh(320), *passages])
+    assert len(long.split()) == 960 and op02_quality.measure(long)[10:] == (False, "repeated_5")
+    line = fresh(9)
+    assert op02_quality.measure(f"{line}\n{fresh(40)}\n{line}")[10] and op02_quality.measure(fresh(960))[10]
+    line = fresh(14)
+    assert op02_quality.measure(f"{line}\n{fresh(72)}\n{line}")[10]
+    shares = [op02_quality.bound(op02_quality.REPEATED_SHARE[10], n) for n in range(50, 5000)]
+    assert shares[0] == 0.35 and 0.10 < shares[-1] < 0.11 and all(0 <= a - b < 0.01 for a, b in zip(shares, shares[1:]))
+
+
 # -- 3, 8 -----------------------------------------------------------------------------------------
 
 
