@@ -51,7 +51,7 @@ def cohorts(t):
 @query("G5")
 def bootstrap(t):
     """Weakest pair support of each group over locus resamples."""
-    return clusters.bootstrap_support(selection_profiles(t), 0.48, 0.5, replicates=3, seed=7)
+    return clusters.bootstrap_support(selection_profiles(t), 0.48, 0.5, replicates=30, seed=7)
 
 
 @query("G6", """
@@ -126,7 +126,7 @@ def parsimony(t):
     return result["states"].join(inner, ["tree_id", "node"]).join(result["optimum"], "tree_id").select("node", F.array_join("allowed", ",").alias("allowed"), F.col("changes").alias("optimum_changes"))
 
 
-def rerooted_trees(t, limit=3):
+def rerooted_trees(t, limit=5):
     closure = durable(trees.ancestors(t.tree))
     samples = observed_states(t).join(t.samples.select(F.col("sample_id").alias("node"), (F.col("role") == "input").alias("is_input")), "node")
     roots = network.choose_roots(t.tree, closure, samples, limit).select(F.col("tip").alias("new_id"), "tip")

@@ -1,5 +1,6 @@
 """Iterative operators against small brute-force versions."""
 
+import inspect
 import itertools
 import random
 from types import SimpleNamespace
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lineagespark.operators import clusters, distances, joins, network, selection, statistics, trees
+from lineagespark.plans import graphs
 from lineagespark.plans import ranking as plans
 
 
@@ -241,3 +243,14 @@ def test_patients_without_a_code_are_uncoded(spark):
     signal = spark.createDataFrame([("x", True)], "lineage string, supported boolean")
     got = {r["lineage"]: r["patient_sensitivity"] for r in statistics.scenario(samples, groups, signal, ["lineage"]).collect()}
     assert got == {"x": "unavailable", "y": "supported", "w": "unavailable"}
+
+
+def test_plans_use_all_replicates_and_roots(monkeypatch):
+    """G5 resamples 30 times, and G10 tests the five roots of its operator."""
+    asked = []
+    monkeypatch.setattr(graphs, "selection_profiles", lambda t: t)
+    monkeypatch.setattr(graphs.clusters, "bootstrap_support", lambda *args, replicates, seed: asked.append(replicates))
+    graphs.bootstrap(None)
+    assert asked == [30]
+    default = lambda f: inspect.signature(f).parameters["limit"].default
+    assert default(graphs.rerooted_trees) == default(network.choose_roots) == 5
