@@ -7,8 +7,8 @@ the language whose frozen statistics give the shortest code.
 
 Words are coded one by one from the space before to the space after them, so a word costs the
 same wherever it stands and its code length is worked out once per task. Spark counts the
-contexts over a sample of labelled rows that two parameters bound (``docs_per_language``,
-``chars_per_doc``), so the model that is sent out is bounded too; every text is scored whole.
+contexts over the whole texts of a sample of labelled rows (``docs_per_language``), added up
+on Spark, so the model that is sent out is bounded too; every text is scored whole.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything when there
 is nothing to learn from. Ties go to the smallest name. Rows without an id are never learned
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ORDER, DOCS_PER_LANGUAGE, CHARS_PER_DOC = 4, 300, 20_000
+ORDER, DOCS_PER_LANGUAGE = 4, 300
 #: Words whose code lengths a task keeps before it starts afresh.
 CACHE_WORDS = 300_000
 _LETTER = re.compile(r"[^\W\d_]")
@@ -166,13 +166,13 @@ def _context_counts(order: int):
     return count
 
 
-def train(labelled: DataFrame, order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE, chars_per_doc: int = CHARS_PER_DOC) -> Model:
+def train(labelled: DataFrame, order: int = ORDER, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """A model from ``labelled(doc_id, text, lang)``: per language, the documents with the smallest hashed ids."""
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     # At most docs_per_language rows a language: small enough to send to every task.
     picked = usable.select("lang", "doc_id").withColumn("_turn", F.row_number().over(by_hash)).filter(F.col("_turn") <= docs_per_language).select("lang", "doc_id").distinct()
-    sample = usable.select("lang", "doc_id", F.substring("text", 1, chars_per_doc).alias("text")).join(F.broadcast(picked), ["lang", "doc_id"])
+    sample = usable.select("lang", "doc_id", "text").join(F.broadcast(picked), ["lang", "doc_id"])
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")).filter("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     counts = words.mapInPandas(_context_counts(order), "lang string, size int, key long, n long").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
     return build_model(counts.toPandas(), order)

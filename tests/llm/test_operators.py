@@ -298,6 +298,14 @@ def test_repeated_strings(spark):
         assert got[doc_id] == (len(raw), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest()), doc_id
 
 
+def test_training_reads_past_a_long_beginning(spark):
+    """A word that only stands after 20,000 characters counts for its language."""
+    rows = [(1, "aa " * 8000 + "zzz " * 50, "x"), (2, "bb " * 100, "y")]
+    model = op05_language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    names, _ = op05_language.Scorer(model).predict(["zzz zzz zzz"])
+    assert list(names) == ["x"]
+
+
 # -- 9, 10 ----------------------------------------------------------------------------------------
 
 
