@@ -71,4 +71,48 @@ n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_lines_removed, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text FROM d LEFT JOIN kept USING (r) LEFT JOIN n USING (r)
 """
 
-ORACLES = {"op3_chat": CHAT, "op7_mixing": MIXING, "op8_urls": URLS, "op9_lines": LINES}
+_ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_VALUES = _ASSIGN.replace("=-]+", "=-]{6,}")
+_ACCESS, _HEX = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
+_FOUND = "SELECT r, {rank} AS rank, regexp_extract_all(t, '{pattern}', 0) AS f, string_split_regex(t, '{pattern}') AS g FROM d"
+
+SECRETS = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_FOUND.format(rank=0, pattern=_ASSIGN)} UNION ALL {_FOUND.format(rank=1, pattern=_ACCESS)} UNION ALL {_FOUND.format(rank=2, pattern=_HEX)} UNION ALL {_FOUND.format(rank=3, pattern="[A-Za-z0-9+/_=-]{16,}")}),
+e AS (SELECT r, rank, f, g, unnest(generate_series(1, len(f))) AS i FROM m WHERE len(f) > 0),
+a AS (SELECT r, rank, f[i] AS v, coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(f[1:i-1], lambda x: length(x))), 0) AS s FROM e),
+b AS (SELECT r, rank, v, s::BIGINT AS s, (s + length(v))::BIGINT AS e FROM a WHERE rank > 0 OR length(regexp_extract(v, '{_ASSIGN}', 2)) >= 6),
+samples AS (SELECT true AS secret, unnest(list_concat(list_concat(regexp_extract_all(t, '{_VALUES}', 2), regexp_extract_all(t, '{_ACCESS}', 0)), regexp_extract_all(t, '{_HEX}', 0))) AS token FROM d
+            UNION ALL SELECT false, unnest(regexp_extract_all(regexp_replace(t, '{_VALUES}|{_ACCESS}|{_HEX}', ' ', 'g'), '[A-Za-z0-9+/_=-]{{8,}}', 0)) FROM d),
+syms AS (SELECT secret, list_filter(list_transform(string_split(token, ''), lambda c: instr('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-', c)), lambda x: x > 0) AS q FROM samples),
+seen AS (SELECT secret, unnest(list_transform(q, lambda c, i: (CASE WHEN i = 1 THEN 0 ELSE q[i-1] END) * 67 + c - 1)) AS cell FROM syms),
+filled AS (SELECT cell, cell // 67 AS before, count(*) FILTER (WHERE seen.secret) AS n_r, count(*) FILTER (WHERE NOT seen.secret) AS n_o FROM (SELECT unnest(range(68 * 67)) AS cell) LEFT JOIN seen USING (cell) GROUP BY ALL),
+odds AS (SELECT cell, floor(ln(((n_r + 1.0::DOUBLE) / (sum(n_r) OVER w + 67.0::DOUBLE)) / ((n_o + 1.0::DOUBLE) / (sum(n_o) OVER w + 67.0::DOUBLE))) * 1000000 + 0.5)::BIGINT AS o FROM filled WINDOW w AS (PARTITION BY before)),
+runs AS (SELECT r, v, s, e, list_transform(string_split(v, ''), lambda c: instr('ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-', c)) AS q FROM b WHERE rank = 3),
+steps AS (SELECT r, s, e, unnest(list_transform(q, lambda c, i: (CASE WHEN i = 1 THEN 0 ELSE q[i-1] END) * 67 + c - 1)) AS cell FROM runs),
+added AS (SELECT r, 3 AS rank, s, e FROM steps JOIN odds USING (cell) GROUP BY ALL HAVING sum(o) >= 10000000),
+spans AS (SELECT r, rank, s, e FROM b WHERE rank < 3 UNION ALL SELECT r, rank, s, e FROM added x WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.rank < 3 AND b.r = x.r AND b.s <= x.s AND b.e >= x.e)),
+k AS (SELECT r, rank, s, e, ['assign', 'access', 'hex', 'markov'][rank + 1] || ':' || s || ':' || e AS w FROM spans),
+o AS (SELECT r, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex, count(*) FILTER (WHERE rank = 3) AS n_markov,
+             string_agg(w, ',' ORDER BY s, rank) FILTER (WHERE rank < 3) AS base, string_agg(w, ',' ORDER BY s, rank) AS spans FROM k GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, coalesce(n_markov, 0) AS n_markov, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN o USING (r)
+"""
+
+PHRASES = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+starts AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM w WHERE len(ws) > 0),
+g AS (SELECT lang, m, ws[i:i+m-1] AS words, count(*) AS f FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE i + m - 1 <= len(ws) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM g WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, words, f, ' ' || array_to_string(words, ' ') || ' ' AS s FROM g WHERE f >= 100),
+kept AS (SELECT * FROM c WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM c x WHERE x.lang = c.lang AND x.m > c.m AND 100 * x.f >= 100 * c.f AND contains(x.s, c.s))),
+cut AS (SELECT kept.lang, kept.s, kept.f AS a, k, l.f AS l, r.f AS r, n.n, (1000::HUGEINT * kept.f * n.n) // (l.f::HUGEINT * r.f) AS score
+        FROM kept, (SELECT unnest([1, 2, 3, 4]) AS k), c l, c r, n WHERE k < kept.m AND l.lang = kept.lang AND r.lang = kept.lang AND n.lang = kept.lang AND l.words = kept.words[1:k] AND r.words = kept.words[k+1:]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM best)
+SELECT lang, rank, trim(s, ' ') AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES = {"op3_chat": CHAT, "op7_mixing": MIXING, "op8_urls": URLS, "op9_lines": LINES, "op11_secrets": SECRETS, "op12_phrases": PHRASES}

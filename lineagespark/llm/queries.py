@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lineagespark.llm import (
     op01_packing, op02_quality, op03_chat, op04_jaccard, op05_language, op06_suffixes, op07_mixing, op08_urls, op09_lines, op10_fingerprints,
+    op11_secrets, op12_phrases, op13_alignment,
 )
 from lineagespark.llm.common import table
 from lineagespark.llm.oracles import ORACLES
@@ -53,7 +54,20 @@ def op10_fingerprints_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+def op12_phrases_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_alignment.cross_alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing, "op2_quality": op2_quality, "op3_chat": op3_chat, "op4_jaccard": op4_jaccard, "op5_language": op5_language,
     "op6_suffixes": op6_suffixes, "op7_mixing": op7_mixing, "op8_urls": op8_urls, "op9_lines": op9_lines, "op10_fingerprints": op10_fingerprints_query,
+    "op11_secrets": op11_secrets_query, "op12_phrases": op12_phrases_query, "op13_alignment": op13_alignment_query,
 }
