@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +38,7 @@ from lineagespark.llm.common import written
 TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text that a task works on at a time, and windows whose alignment it keeps.
-BLOCK, MEMO = 1 << 22, 300_000
+BLOCK, MEMO = 1 << 21, 200_000
 #: Pairs that are sent to all tasks, and bins per doubling of the histogram that chooses them.
 HEAD, BINS = 1 << 20, 8
 
@@ -62,7 +63,8 @@ class Tokens:
 
     def __init__(self, spelled: list[bytes]):
         self.spelled = spelled
-        self.length = np.array([len(s) for s in spelled], np.int64)
+        self.sizes = [len(s) for s in spelled]
+        self.length = np.array(self.sizes, np.int64)
         self.spaced = np.array([s[:1] == b" " for s in spelled], bool)
 
 
@@ -88,6 +90,9 @@ class Tokenizers:
         size = self.pieces.get_piece_size()
         piece = lambda i: bytes([int(self.pieces.id_to_piece(i)[1:-1], 16)]) if self.pieces.is_byte(i) else self.pieces.id_to_piece(i).replace(SPACE_MARK, " ").encode()
         self.b = Tokens([piece(i) for i in range(size)])
+        # Ids as text, alone and behind the bar of a group.
+        self.names = [str(i) for i in range(max(len(spelled), size))]
+        self.behind = ["|" + n for n in self.names]
         #: A pair of ids is one number: a * 2**bits + b.
         self.bits = max(1, (size - 1).bit_length())
 
@@ -103,25 +108,33 @@ def tokenizers(folder: str) -> Tokenizers:
 # -- windows ------------------------------------------------------------------------------------
 
 
-def align(a: tuple[int, ...], b: tuple[int, ...], known: Tokenizers) -> tuple[str, int, np.ndarray]:
-    """``(groups, number of groups, linked pairs)`` of one window."""
-    pairs, groups, i, j, end_a, end_b, left, right = [], [], 0, 0, int(known.a.length[a[0]]), int(known.b.length[b[0]]), 0, 0
+def align(a: list[int], b: list[int], known: Tokenizers) -> tuple[str, int, bytes]:
+    """``(groups, number of groups, linked pairs)`` of one window; the pairs as the bytes of 64-bit numbers."""
+    if len(a) == 1 or len(b) == 1:
+        # One token against all: the window ends where both do, and inside one side has no end.
+        return ",".join(map(str, a)) + "|" + ",".join(map(str, b)), 1, array("q", [x << known.bits | y for x in a for y in b]).tobytes()
+    size_a, size_b, names, behind = known.a.sizes, known.b.sizes, known.names, known.behind
+    pairs, groups, i, j, left, right = [], [], 0, 0, 0, 0
+    end_a, end_b = size_a[a[0]], size_b[b[0]]
     while True:
         pairs.append(a[i] << known.bits | b[j])
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a and step_b:
-            groups.append(",".join(map(str, a[left : i + 1])) + "|" + ",".join(map(str, b[right : j + 1])))
-            left, right = i + 1, j + 1
-        if step_a:
+        if end_a < end_b:
             i += 1
-            if i < len(a):
-                end_a += int(known.a.length[a[i]])
-        if step_b:
+            end_a += size_a[a[i]]
+        elif end_b < end_a:
             j += 1
-            if j < len(b):
-                end_b += int(known.b.length[b[j]])
-        if i == len(a) or j == len(b):
-            return ";".join(groups), len(groups), np.array(pairs, np.int64)
+            end_b += size_b[b[j]]
+        else:
+            i, j = i + 1, j + 1
+            if i - left == j - right == 1:
+                groups.append(names[a[left]] + behind[b[right]])
+            else:
+                groups.append(",".join([names[x] for x in a[left:i]]) + "|" + ",".join([names[x] for x in b[right:j]]))
+            if i == len(a):
+                return ";".join(groups), len(groups), array("q", pairs).tobytes()
+            left, right = i, j
+            end_a += size_a[a[i]]
+            end_b += size_b[b[j]]
 
 
 def _window_hash(ids: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -146,14 +159,15 @@ class Aligner:
 
     def __init__(self, known: Tokenizers, memo: int = MEMO):
         self.known, self.limit = known, memo
-        self.memo: dict[tuple, tuple[str, int, np.ndarray]] = {}
+        self.memo: dict[tuple, tuple[str, int, bytes]] = {}
 
-    def _window(self, a: tuple[int, ...], b: tuple[int, ...]):
-        found = self.memo.get((a, b))
+    def _window(self, a: list[int], b: list[int]) -> tuple[str, int, bytes]:
+        key = tuple(a), tuple(b)
+        found = self.memo.get(key)
         if found is None:
             if len(self.memo) >= self.limit:
                 self.memo.clear()
-            found = self.memo[a, b] = align(a, b, self.known)
+            found = self.memo[key] = align(a, b, self.known)
         return found
 
     def block(self, texts: list[str]) -> list[tuple]:
@@ -184,17 +198,17 @@ class Aligner:
         _, model, kind = np.unique(value, return_index=True, return_inverse=True)
         if not (_agrees(a, start_a, model[kind]) and _agrees(b, start_b, model[kind])):
             model = kind = np.arange(len(start_a))  # two windows with one hash: take each by itself
-        bound_a, bound_b = np.append(start_a, len(a)), np.append(start_b, len(b))
-        found = [self._window(tuple(a[bound_a[w] : bound_a[w + 1]].tolist()), tuple(b[bound_b[w] : bound_b[w + 1]].tolist())) for w in model.tolist()]
-        texts_of, links = [f[0] for f in found], np.array([len(f[2]) for f in found], np.int64)
-        flat, offset = np.concatenate([f[2] for f in found]), np.append(0, np.cumsum(links))[:-1]
+        list_a, list_b, stop_a, stop_b = a.tolist(), b.tolist(), np.append(start_a[1:], len(a)), np.append(start_b[1:], len(b))
+        found = [self._window(list_a[i:j], list_b[k:m]) for i, j, k, m in zip(*(x[model].tolist() for x in (start_a, stop_a, start_b, stop_b)), strict=True)]
+        texts_of, links = [f[0] for f in found], np.array([len(f[2]) for f in found], np.int64) // 8
+        flat, offset = np.frombuffer(b"".join([f[2] for f in found]), np.int64), np.append(0, np.cumsum(links))[:-1]
         # All links of the block: which document, which pair.
         many = links[kind]
         place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         pair = flat[np.repeat(offset[kind], many) + place]
         in_doc, n_links = np.repeat(doc, many), np.bincount(doc, many, len(rows)).astype(np.int64)
         n_groups = np.bincount(doc, np.array([f[1] for f in found])[kind], len(rows)).astype(np.int64)
-        order = np.lexsort((pair, in_doc))
+        order = np.argsort(in_doc << 40 | pair) if int(pair.max()) < 1 << 40 and len(rows) < 1 << 22 else np.lexsort((pair, in_doc))
         pair, in_doc = pair[order], in_doc[order]
         fresh = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (in_doc[1:] != in_doc[:-1])]))
         times = np.diff(np.append(fresh, len(pair))).astype(np.int32)
