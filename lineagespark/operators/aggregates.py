@@ -70,45 +70,13 @@ def time_place_cells(members: DataFrame, group: str = "group_id") -> DataFrame:
 # -- pair summaries --------------------------------------------------------------------------------
 
 
-def _summary(df: DataFrame, key: str, value: str) -> DataFrame:
-    return df.groupBy(key).agg(
-        F.count(value).alias("comparisons"), F.min(value).alias("minimum"), F.median(value).alias("median"), F.max(value).alias("maximum")
-    )
-
-
-def summarise_pairs(pairs: DataFrame) -> DataFrame:
-    """SNP summaries by pair class; period and patient classes look at focal pairs only."""
-    focal = F.col("comparison") == "focal_focal"
-    classes = F.array_compact(
-        F.array(
-            F.col("comparison"),
-            F.when(focal & (F.col("period_comparison") != "date_unavailable"), F.col("period_comparison")),
-            F.when(focal & (F.col("patient_comparison") != "patient_unavailable"), F.col("patient_comparison")),
-        )
-    )
-    rows = pairs.select(F.explode(classes).alias("category"), F.col("snps").alias("value")).unionByName(
-        pairs.select(F.lit("callable_sites").alias("category"), F.col("callable_sites").alias("value"))
-    )
-    return _summary(rows, "category", "value")
-
-
-def group_distance_summaries(pairs: DataFrame, membership: DataFrame) -> DataFrame:
-    """Focal SNP summaries within and between candidate groups ``(sample_id, group_id)``."""
-    side = lambda s: membership.select(F.col("sample_id").alias(f"sample_{s}"), F.col("group_id").alias(f"g_{s}"))
-    df = pairs.filter("comparison = 'focal_focal'").join(side("a"), "sample_a").join(side("b"), "sample_b")
-    label = F.when(F.col("g_a") == F.col("g_b"), "within_candidate_groups").otherwise("between_candidate_groups")
-    return _summary(df.select(label.alias("category"), F.col("snps").alias("value")), "category", "value")
-
-
-def screen_outliers(pairs: DataFrame, min_robust_z: float = 10.0, min_ratio: float = 5.0) -> DataFrame:
-    """Samples whose median distance is far from the cohort's, by two rules at once.
+def screen_outliers(per: DataFrame, min_robust_z: float = 10.0, min_ratio: float = 5.0) -> DataFrame:
+    """Samples whose median distance is far from the cohort's, by two rules at once, from ``(sample_id, median_snps, median_proportion)``.
 
     With no spread a sample above the centre has infinite score; with a zero centre any
     positive median has infinite ratio.
     """
-    called = pairs.filter("snp_proportion IS NOT NULL")
-    ends = called.select(F.explode(F.array("sample_a", "sample_b")).alias("sample_id"), "snps", "snp_proportion")
-    per = ends.groupBy("sample_id").agg(F.median("snps").alias("median_snps"), F.median("snp_proportion").alias("median_proportion"))
+    per = per.filter("median_proportion IS NOT NULL")
     centre = per.agg(F.median("median_proportion").alias("centre"))
     spread = per.crossJoin(F.broadcast(centre)).agg(F.median(F.abs(F.col("median_proportion") - F.col("centre"))).alias("mad"))
     # One-row tables: their broadcast does not grow.
@@ -122,22 +90,22 @@ def screen_outliers(pairs: DataFrame, min_robust_z: float = 10.0, min_ratio: flo
     )
 
 
-def patient_sensitivity(samples: DataFrame, pairs: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row: focal distances with and without repeat isolates of a patient."""
+def patient_sensitivity(samples: DataFrame, summaries: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row: focal distances with and without repeat isolates of a patient.
+
+    ``summaries`` has the categories ``full`` and ``one_per_patient`` of ``alignments.focal_summaries``, ``kept`` the retained ids.
+    """
     focal = samples.filter(F.lower(clean("origin")) != "context")
-    focal_pairs = pairs.filter("comparison = 'focal_focal'")
     keep = focal.join(kept, "sample_id", "left_semi").select("sample_id")
-    both = focal_pairs.join(keep.withColumnRenamed("sample_id", "sample_a"), "sample_a", "left_semi").join(
-        keep.withColumnRenamed("sample_id", "sample_b"), "sample_b", "left_semi"
-    )
-    stats = lambda df, p: df.agg(F.count("snps").alias(f"{p}_pairs"), F.min("snps").alias(f"{p}_min"), F.median("snps").alias(f"{p}_median"), F.max("snps").alias(f"{p}_max"))
     coded = F.count_if(clean("patient_id") != "")
     counts = focal.agg(F.count(F.lit(1)).alias("focal_samples"), coded.alias("samples_with_patient_id"))
     counts = counts.withColumn("patient_metadata_complete", (F.col("focal_samples") > 0) & (F.col("focal_samples") == F.col("samples_with_patient_id")))
     removed = keep.agg(F.count(F.lit(1)).alias("retained"))
-    return counts.crossJoin(removed).crossJoin(stats(focal_pairs, "full")).crossJoin(stats(both, "one_per_patient")).withColumn(
-        "excluded", F.col("focal_samples") - F.col("retained")
-    )
+    of = lambda p, c: F.max(F.when(F.col("category") == p, F.col(c)))
+    stats = [x for p in ("full", "one_per_patient") for x in (
+        F.coalesce(of(p, "comparisons"), F.lit(0)).alias(f"{p}_pairs"), of(p, "minimum").alias(f"{p}_min"), of(p, "median").alias(f"{p}_median"), of(p, "maximum").alias(f"{p}_max"),
+    )]
+    return counts.crossJoin(removed).crossJoin(summaries.agg(*stats)).withColumn("excluded", F.col("focal_samples") - F.col("retained"))
 
 
 # -- composition --------------------------------------------------------------------------------------

@@ -502,43 +502,11 @@ def audit_evidence(pairs: DataFrame, cohort: DataFrame, min_overlap: float) -> D
 # -- alignments ---------------------------------------------------------------------------------
 
 
-_BASES = np.full(256, 0, dtype=np.uint8)
-for _code, _base in enumerate(b"ACGT", start=1):
-    _BASES[_base] = _code
+def snp_pairs(alignment: DataFrame, tile: int | None = None) -> DataFrame:
+    """SNPs and callable sites of every pair from ``(sample_id, block, bases)`` with ordered blocks; see ``alignments``."""
+    from lineagespark.operators import alignments
 
-
-def snp_pairs(alignment: DataFrame, max_snps: int | None = None, tile_bases: int = 1 << 25) -> DataFrame:
-    """SNPs and callable sites per pair from ``(sample_id, block, bases)`` with ordered blocks.
-
-    The tile shrinks as the alignment grows, so a group stays near ``tile_bases`` bases.
-    """
-    rows = alignment.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("block", "bases"))).alias("b"))
-    rows = rows.select(F.lit("alignment").alias("scope_id"), "sample_id", F.array_join("b.bases", "").alias("sequence"))
-    length = rows.select(F.max(F.length("sequence"))).first()[0] or 1
-    tile = int(max(8, min(TILE, tile_bases // length)))
-
-    def codes(table):
-        return np.stack([_BASES[np.frombuffer(s.encode("ascii"), dtype=np.uint8)] for s in table["sequence"].to_pylist()])
-
-    def kernel(left, right, same):
-        a, b = codes(left), codes(right)
-        shared = np.zeros((len(a), len(b)), dtype=np.int64)
-        equal = np.zeros_like(shared)
-        for lo in range(0, a.shape[1], 1 << 16):
-            x, y = a[:, lo : lo + (1 << 16)], b[:, lo : lo + (1 << 16)]
-            shared += np.rint((x > 0).astype(np.float32) @ (y > 0).astype(np.float32).T).astype(np.int64)
-            for base in (1, 2, 3, 4):
-                equal += np.rint((x == base).astype(np.float32) @ (y == base).astype(np.float32).T).astype(np.int64)
-        snps = shared - equal
-        keep = np.ones_like(snps, dtype=bool) if max_snps is None else snps <= max_snps
-        i, j = np.nonzero(_upper(keep, left, right, same))
-        p, q = _ordered_ids(left, right, i, j)
-        return {
-            "sample_a": pa.array(p, pa.string()), "sample_b": pa.array(q, pa.string()), "snps": pa.array(snps[i, j], pa.int64()), "callable_sites": pa.array(shared[i, j], pa.int64()),
-        }
-
-    schema = "sample_a string, sample_b string, snps bigint, callable_sites bigint"
-    return tile_pairs(rows, "sample_id", ["sequence"], kernel, schema, tile).drop("scope_id")
+    return alignments.listed_pairs(alignments.pair_tiles(alignment, alignment.select("sample_id").distinct(), tile or alignments.TILE))
 
 
 def classify_pairs(pairs: DataFrame, samples: DataFrame) -> DataFrame:

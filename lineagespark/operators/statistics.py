@@ -1,4 +1,4 @@
-"""Regressions, permutation gates, ordination and the evidence rules."""
+"""Regressions, permutation gates and the evidence rules."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagespark.functions.text import clean
-from lineagespark.operators.distances import _comparable, _payload, tile_pairs
 from lineagespark.session import durable
 
 
@@ -217,148 +216,6 @@ def pair_agreement(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sample_a", "sample_b").agg(F.count("together").alias("assessable_runs"), F.count_if("together").alias("co_clustered_runs"))
 
 
-# -- ordination ---------------------------------------------------------------------------------------
-
-
-def vector_pcoa(packed: DataFrame, panel_size: int, axes: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Leading axes of mean-cosine geometry from packed unit vectors; coordinates and axis shares.
-
-    The centred Gram matrix has the eigenvalues of the vectors' covariance, which is the sum
-    of one small matrix per partition, so the work is linear in samples. Each axis points
-    to its largest loading.
-    """
-    from lineagespark.operators.distances import matrix_of
-
-    def moments(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x = matrix_of(pa.Table.from_batches([batch]), "unit")
-                yield pa.RecordBatch.from_pydict({"n": [float(len(x))], "s": [x.sum(axis=0)], "xx": [(x.T @ x).ravel()]})
-
-    parts = packed.select("unit").mapInArrow(moments, "n double, s array<double>, xx array<double>")
-    # Sums of fixed-size matrices (dimension squared), added position by position.
-    add = lambda c: parts.select(F.posexplode(c)).groupBy("pos").agg(F.sum("col").alias("v")).orderBy("pos")
-    n = parts.agg(F.sum("n")).first()[0]
-    mean = np.array([r[1] for r in add("s").collect()]) / n
-    dim = len(mean)
-    cov = np.array([r[1] for r in add("xx").collect()]).reshape(dim, dim) - n * np.outer(mean, mean)
-    values, vectors = np.linalg.eigh(cov / panel_size)
-    order = np.argsort(values)[::-1]
-    values, vectors = values[order], vectors[:, order][:, :axes]
-    positive = np.where(values > max(1.0, np.abs(values).max()) * 1e-10, values, 0.0)
-    project = F.array(*[sum_product(F.col("unit"), vectors[:, k], float(mean @ vectors[:, k]), panel_size) for k in range(axes)])
-    coords = packed.select("sample_id", project.alias("c"))
-    extremes = coords.select(*[F.max_by(F.col("c")[k], F.abs(F.col("c")[k])).alias(f"a{k}") for k in range(axes)])
-    # One row with the sign of each axis.
-    signed = coords.crossJoin(F.broadcast(extremes))
-    out = signed.select("sample_id", *[(F.col("c")[k] * F.when(F.col(f"a{k}") < 0, -1.0).otherwise(1.0)).alias(f"axis_{k + 1}") for k in range(axes)])
-    share = positive / positive.sum() if positive.sum() else positive
-    report = packed.sparkSession.createDataFrame([(k + 1, float(values[k]), float(share[k])) for k in range(min(axes, dim))], "axis int, eigenvalue double, share double")
-    return out, report
-
-
-def sum_product(column: Column, weights: np.ndarray, shift: float, panel_size: int) -> Column:
-    w = F.array(*[F.lit(float(x)) for x in weights])
-    dot = F.aggregate(F.zip_with(column, w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    return (dot - F.lit(shift)) / F.lit(float(panel_size) ** 0.5)
-
-
-def categorical_pcoa(profiles: DataFrame, min_overlap: float, block: int = 6, rounds: int = 30, tolerance: float = 1e-7, tile: int = 1024, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """Two leading axes of the double-centred squared distances of comparable profiles, per scope.
-
-    Squared distances stay in tiles on disk. Subspace iteration multiplies all tiles with a
-    few vectors per round: a task needs its tile and two slices of the vectors. Only small
-    cross products (block × block per scope) reach the driver. Returns coordinates and
-    ``(scope_id, axis, eigenvalue, residual, rounds)``.
-    """
-
-    def kernel(left, right, same):
-        differences, shared, good, _ = _comparable(left, right, min_overlap)
-        d2 = np.where(good, (differences / np.maximum(shared, 1)) ** 2, 0.0)
-        take = lambda t: pa.array([t["sample_id"].to_pylist()], pa.list_(pa.string()))
-        return {"left_ids": take(left), "right_ids": take(right), "same": pa.array([same]), "d2": pa.array([d2.astype(np.float64).tobytes()], pa.binary())}
-
-    tiles = durable(tile_pairs(profiles, "sample_id", _payload(profiles), kernel, "left_ids array<string>, right_ids array<string>, same boolean, d2 binary", tile).withColumn("tile_id", F.monotonically_increasing_id()), "tiles")
-    draws = [((F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "sample_id"), F.lit(20001)) - 10000) / 10000.0) for k in range(block)]
-    x = profiles.select("scope_id", "sample_id", F.array(*draws).alias("x"))
-    sides = tiles.select("tile_id", "scope_id", F.lit(0).alias("side"), F.posexplode("left_ids").alias("i", "sample_id")).unionByName(
-        tiles.select("tile_id", "scope_id", F.lit(1).alias("side"), F.posexplode("right_ids").alias("i", "sample_id"))
-    )
-    sides = durable(sides, "sides")
-    vector = f"array<double>"
-
-    def multiply(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                m = np.frombuffer(row["d2"]).reshape(len(row["left_ids"]), len(row["right_ids"]))
-                a, b = np.array(row["xl"]), np.array(row["xr"])
-                ids, out = list(row["left_ids"]), m @ b
-                if not row["same"]:
-                    ids += row["right_ids"]
-                    out = np.concatenate([out, m.T @ a])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["scope_id"]] * len(ids)), pa.array(ids), pa.array(out.tolist(), pa.list_(pa.float64()))], names=["scope_id", "sample_id", "y"]
-                )
-
-    def mean_of(df, c):
-        return df.groupBy("scope_id").agg(F.array(*[F.avg(F.col(c)[k]) for k in range(block)]).alias("_m"))
-
-    def centre(df, c):
-        return df.join(mean_of(df, c), "scope_id").withColumn(c, F.zip_with(c, "_m", lambda a, b: a - b)).drop("_m")
-
-    def grams(df, left, right):
-        cells = [F.sum(F.col(left)[i] * F.col(right)[j]).alias(f"g{i}_{j}") for i in range(block) for j in range(block)]
-        return {r["scope_id"]: np.array([r[k + 1] for k in range(block * block)], dtype=float).reshape(block, block) for r in df.groupBy("scope_id").agg(*cells).collect()}
-
-    def rotate(df, column, turns):
-        # One small matrix per scope, joined on the scope.
-        rows = [(s, [[float(v) for v in row] for row in m.T]) for s, m in turns.items()]
-        r = df.sparkSession.createDataFrame(rows, "scope_id string, _r array<array<double>>")
-        times = F.transform("_r", lambda w: F.aggregate(F.zip_with(F.col(column), w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
-        return df.join(r, "scope_id").withColumn(column, times).drop("_r")
-
-    x = durable(centre(x, "x"), "x")
-    residual, values, used = {}, {}, 0
-    for used in range(1, rounds + 1):
-        gram = grams(x, "x", "x")
-        x = rotate(x, "x", {s: _inverse_root(g) for s, g in gram.items()})
-        x = durable(x, "x")
-        sliced = sides.join(x, ["scope_id", "sample_id"]).groupBy("tile_id", "side").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
-        ready = tiles.join(sliced.filter("side = 0").select("tile_id", F.col("v").alias("xl")), "tile_id").join(sliced.filter("side = 1").select("tile_id", F.col("v").alias("xr")), "tile_id")
-        parts = ready.select("scope_id", "left_ids", "right_ids", "same", "d2", "xl", "xr").mapInArrow(multiply, f"scope_id string, sample_id string, y {vector}")
-        y = parts.groupBy("scope_id", "sample_id").agg(F.array(*[F.sum(F.col("y")[k]) * -0.5 for k in range(block)]).alias("y"))
-        both = durable(x.join(centre(y, "y"), ["scope_id", "sample_id"]), "xy")
-        ritz, size = grams(both, "x", "y"), grams(both, "y", "y")
-        turns = {}
-        for s, h in ritz.items():
-            v, w = np.linalg.eigh((h + h.T) / 2)
-            order = np.argsort(v)[::-1]
-            values[s], turns[s] = v[order], w[:, order]
-            norm = np.diag(w[:, order].T @ size[s] @ w[:, order])
-            residual[s] = float(np.sqrt(np.maximum(norm[:2] - v[order][:2] ** 2, 0)).max())
-        x = rotate(both.select("scope_id", "sample_id", "x"), "x", turns)
-        done = all(residual[s] <= tolerance * max(1.0, abs(values[s][0])) for s in residual)
-        if done or used == rounds:
-            break
-        x = durable(rotate(both.select("scope_id", "sample_id", F.col("y").alias("x")), "x", turns), "x")
-    x = durable(x, "axes")
-    spark = profiles.sparkSession
-    scale = spark.createDataFrame([(s, [float(max(v[k], 0.0) ** 0.5) for k in range(2)]) for s, v in values.items()], "scope_id string, _s array<double>")
-    signs = x.groupBy("scope_id").agg(*[F.max_by(F.col("x")[k], F.abs(F.col("x")[k])).alias(f"_a{k}") for k in range(2)])
-    coords = x.join(scale, "scope_id").join(signs, "scope_id").select(
-        "scope_id", "sample_id", *[(F.col("x")[k] * F.col("_s")[k] * F.when(F.col(f"_a{k}") < 0, -1.0).otherwise(1.0)).alias(f"axis_{k + 1}") for k in range(2)]
-    )
-    report = spark.createDataFrame([(s, k + 1, float(v[k]), residual[s], used) for s, v in values.items() for k in range(2)], "scope_id string, axis int, eigenvalue double, residual double, rounds int")
-    return coords, report
-
-
-def _inverse_root(gram: np.ndarray) -> np.ndarray:
-    """Matrix that makes vectors with this Gram matrix orthonormal."""
-    v, w = np.linalg.eigh((gram + gram.T) / 2)
-    keep = v > v.max() * 1e-12
-    return w * np.where(keep, 1 / np.sqrt(np.maximum(v, 1e-300)), 0.0)
-
-
 # -- scenario ------------------------------------------------------------------------------------------
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineagespark.functions import dates, geo, sequences
-from lineagespark.operators import aggregates, clusters, filters, joins, ranking, selection
-from lineagespark.plans.distances import OVERLAP, selection_profiles, snp_records
+from lineagespark.operators import alignments, aggregates, clusters, filters, joins, ranking, selection
+from lineagespark.plans.distances import OVERLAP, selection_profiles, snp_tiles
 from lineagespark.plans.inputs import AS_OF
 from lineagespark.plans.joins import _CATALOGUE_SQL, allele_catalogue, lineage_keys
 from lineagespark.plans.ranking import _STRATA, strata_rows
 from lineagespark.plans.registry import query
+from lineagespark.session import durable
 
 
 @query("A1", """
@@ -54,14 +55,14 @@ WITH c AS (SELECT comparison AS category, snps AS v FROM snps UNION ALL SELECT p
   UNION ALL SELECT patient_class, snps FROM snps WHERE comparison = 'focal_focal' AND patient_class <> 'patient_unavailable' UNION ALL SELECT 'callable_sites', callable_sites FROM snps)
 SELECT category, count(*) AS comparisons, min(v) AS minimum, median(v) AS median, max(v) AS maximum FROM c GROUP BY 1""", "snps")
 def pair_summary(t):
-    return aggregates.summarise_pairs(snp_records(t))
+    return alignments.class_summaries(snp_tiles(t))
 
 
 @query("A6", """
 SELECT CASE WHEN location_1 = location_2 THEN 'within_candidate_groups' ELSE 'between_candidate_groups' END AS category, count(*) AS comparisons, min(snps) AS minimum, median(snps) AS median, max(snps) AS maximum
 FROM snps WHERE comparison = 'focal_focal' GROUP BY 1""", "snps")
 def group_summary(t):
-    return aggregates.group_distance_summaries(snp_records(t), t.isolates.select("sample_id", F.col("location").alias("group_id")))
+    return alignments.group_summaries(snp_tiles(t, F.col("location").alias("group_id")))
 
 
 @query("A7", """
@@ -69,7 +70,8 @@ WITH e AS (SELECT a_id AS sample_id, snps, snps / callable_sites AS p FROM snps
  m AS (SELECT sample_id, median(snps) AS ms, median(p) AS mp FROM e GROUP BY 1), c AS (SELECT median(mp) AS centre FROM m), d AS (SELECT median(abs(mp - centre)) AS mad FROM m, c)
 SELECT sample_id, ms AS median_snps, round(mp, 6) AS median_proportion, round(mp / centre, 4) AS ratio, round(0.6745 * (mp - centre) / mad, 4) AS robust_z, 0.6745 * (mp - centre) / mad >= 1.5 AND mp / centre >= 1.01 AS flagged FROM m, c, d""", "snps")
 def outliers(t):
-    out = aggregates.screen_outliers(snp_records(t), 1.5, 1.01)
+    medians = alignments.sample_medians(snp_tiles(t), {"median_snps": alignments.callable_snps, "median_proportion": alignments.snp_proportion})
+    out = aggregates.screen_outliers(medians, 1.5, 1.01)
     return out.select("sample_id", "median_snps", F.round("median_proportion", 6).alias("median_proportion"), F.round("ratio", 4).alias("ratio"), F.round("robust_z", 4).alias("robust_z"), "flagged")
 
 
@@ -81,7 +83,10 @@ SELECT (SELECT count(*) FROM f) AS focal_samples, (SELECT count(*) FROM f WHERE
   (SELECT count(*) FROM kk) AS one_per_patient_pairs, (SELECT min(snps) FROM kk) AS one_per_patient_min, (SELECT median(snps) FROM kk) AS one_per_patient_median, (SELECT max(snps) FROM kk) AS one_per_patient_max, (SELECT count(*) FROM f) - (SELECT count(*) FROM k) AS excluded""", "snps isolates")
 def one_per_patient(t):
     focal = t.isolates.filter("origin <> 'context'")
-    return aggregates.patient_sensitivity(t.isolates, snp_records(t), ranking.earliest_per_patient(focal))
+    kept = durable(ranking.earliest_per_patient(focal), "kept")
+    marked = t.isolates.join(kept.withColumn("kept", F.lit(True)), "sample_id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    tiles = alignments.pair_tiles(t.alignment, alignments.pair_attributes(marked, F.col("kept")))
+    return aggregates.patient_sensitivity(t.isolates, alignments.focal_summaries(tiles), kept)
 
 
 def composition_units(t):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineagespark.functions import lineage, scopes
-from lineagespark.operators import distances, ranking, trees
+from lineagespark.operators import alignments, distances, ranking, trees
 from lineagespark.plans.joins import _CATALOGUE_SQL, allele_catalogue
 from lineagespark.plans.registry import query
 from lineagespark.session import durable
@@ -104,15 +104,20 @@ def fixed_panel(t):
     return out.select("sample_a", "sample_b", F.round("distance", 6).alias("distance"))
 
 
-def snp_records(t, max_snps=None):
-    return distances.classify_pairs(distances.snp_pairs(t.alignment, max_snps), t.isolates)
+def snp_tiles(t, *more):
+    """Tiles of SNP counts with what pair classes compare, and further columns of the isolates."""
+    return alignments.pair_tiles(t.alignment, alignments.pair_attributes(t.isolates, *more))
+
+
+def snp_records(t):
+    return distances.classify_pairs(distances.snp_pairs(t.alignment), t.isolates)
 
 
 @query("D6", """
 SELECT a_id AS sample_a, b_id AS sample_b, snps, callable_sites, comparison, period_class AS period_comparison, patient_class AS patient_comparison,
-  round(snps / callable_sites, 6) AS snp_proportion FROM snps WHERE snps <= 130""", "snps")
+  round(snps / callable_sites, 6) AS snp_proportion FROM snps""", "snps")
 def snps(t):
-    return snp_records(t, 130).withColumn("snp_proportion", F.round("snp_proportion", 6))
+    return snp_records(t).withColumn("snp_proportion", F.round("snp_proportion", 6))
 
 
 def vector_cells(t):

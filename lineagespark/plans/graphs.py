@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineagespark.operators import clusters, distances, joins, network, ranking, trees
-from lineagespark.plans.distances import OVERLAP, selection_profiles, snp_records
+from lineagespark.plans.distances import OVERLAP, selection_profiles
 from lineagespark.plans.inputs import AS_OF
 from lineagespark.plans.joins import alias_table
 from lineagespark.plans.ranking import wide_keys

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineagespark.functions import lineage
-from lineagespark.operators import distances, joins, ranking, selection
-from lineagespark.plans.distances import OVERLAP, _VECTOR_SQL, snp_records, vector_cells
+from lineagespark.operators import alignments, distances, joins, ranking, selection
+from lineagespark.plans.distances import OVERLAP, _VECTOR_SQL, snp_records, snp_tiles, vector_cells
 from lineagespark.plans.inputs import AS_OF
 from lineagespark.plans.joins import lineage_keys
 from lineagespark.plans.registry import query
@@ -61,12 +61,12 @@ _FOCAL_SNPS = """fc AS (SELECT CASE WHEN origin_1 = 'local' THEN a_id ELSE b_id
 WITH {_FOCAL_SNPS}
 SELECT focal, context, snps, callable_sites FROM (SELECT *, row_number() OVER (PARTITION BY focal ORDER BY snps, callable_sites DESC, context) AS r FROM fc) WHERE r = 1""", "snps")
 def best_context(t):
-    return ranking.nearest_snp_context(focal_context_snps(t))
+    return ranking.nearest_snp_context(alignments.nearest_focal_context(snp_tiles(t)))
 
 
-def screening(t):
-    """Screening distances of each candidate isolate to the focal isolates."""
-    return focal_context_snps(t).select(
+def screening(t, per_focal=1):
+    """Screening distances of the candidate isolates to the focal isolates that can be among the nearest of either."""
+    return alignments.nearest_focal_context(snp_tiles(t), per_focal).select(
         F.col("context").alias("candidate"), "focal", F.col("snps").cast("double").alias("distance"), (F.col("snps") / F.col("callable_sites")).alias("mismatch")
     )
 
@@ -101,7 +101,7 @@ WITH {_FOCAL_SNPS}, s AS (SELECT context AS candidate, focal, CAST(snps AS DOUBL
 SELECT candidate AS sample_id, min_distance, reason AS selection_reason FROM near UNION ALL SELECT * FROM back""", "snps isolates")
 def context_selection(t):
     candidates = t.isolates.filter("origin = 'context'").select("sample_id", "location")
-    chosen, _ = ranking.select_context(candidates, screening(t), ["location"], 15, 2, seed=7)
+    chosen, _ = ranking.select_context(candidates, screening(t, 2), ["location"], 15, 2, seed=7)
     return chosen.select("sample_id", "min_distance", "selection_reason")
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lineagespark.operators import clusters, distances, joins, network, selection, statistics, trees
+from lineagespark.operators import clusters, distances, joins, network, ordination, selection, statistics, trees
 from lineagespark.plans import graphs
 from lineagespark.plans import ranking as plans
 
@@ -192,17 +192,42 @@ def test_rerooting_keeps_distances(spark):
     assert trees.tree_problems(out).count() == 0
 
 
-def test_ordination_matches_dense(spark):
-    df, ids, codes = profiles(spark, n=50, missing=0.0, seed=8, copies=False)
-    d2 = np.array([[evidence(a, b)[0] / 12 for b in codes] for a in codes]) ** 2
-    j = np.eye(50) - 1 / 50
-    values, vectors = np.linalg.eigh(-0.5 * j @ d2 @ j)
-    coords, report = statistics.categorical_pcoa(df, 0.5, rounds=12, tile=20, tolerance=1e-4)
-    got = {r.axis: r.eigenvalue for r in report.collect()}
-    assert abs(got[1] - values[-1]) < 2e-2 * values[-1] and abs(got[2] - values[-2]) < 5e-2 * values[-2]
-    rows = {r.sample_id: (r.axis_1, r.axis_2) for r in coords.collect()}
-    one = np.array([rows[i][0] for i in ids])
-    assert abs(np.corrcoef(one, vectors[:, -1])[0, 1]) > 0.95
+@pytest.mark.parametrize("tile", [1024, 16])
+def test_ordination_matches_dense(spark, tile):
+    """Whole scopes and block Lanczos against dense eigenvectors, with missing calls and negative eigenvalues."""
+    df, ids, codes = profiles(spark, n=70, missing=0.05, seed=8, copies=False)
+    # Three clusters, so that the two leading eigenvalues stand apart.
+    codes[:25, :7], codes[25:45, :7] = np.where(codes[:25, :7] > 0, 1, 0), np.where(codes[25:45, :7] > 0, 2, 0)
+    rows = [(s, i, r.tolist()) for s in ("s", "t") for i, r in zip(ids[: 70 if s == "s" else 41], codes)]
+    df = spark.createDataFrame([*rows, ("one", "p", [1, 2]), ("two", "p", [1, 2]), ("two", "q", [1, 1])], df.schema)
+    coords, report = ordination.leading_axes(df, 0.3, tile=tile)
+    got = {(r.scope_id, r.sample_id): (r.axis_1, r.axis_2) for r in coords.collect()}
+    table = report.collect()
+    assert len(got) == 114 and got["one", "p"] == (0.0, 0.0)
+    assert abs(got["two", "p"][0] - 0.25) < 1e-9 and abs(got["two", "q"][0] + 0.25) < 1e-9 and abs(got["two", "p"][1]) < 1e-6
+    for scope, n in (("s", 70), ("t", 41)):
+        d2 = np.array([[(lambda e: e[0] / e[1])(evidence(a, b)) for b in codes[:n]] for a in codes[:n]]) ** 2
+        j = np.eye(n) - 1 / n
+        values, vectors = np.linalg.eigh(-0.5 * j @ d2 @ j)
+        assert values[0] < -0.05
+        for axis in (1, 2):
+            found = next(r for r in table if (r.scope_id, r.axis) == (scope, axis))
+            assert abs(found.eigenvalue - values[-axis]) < 1e-6 and found.residual <= 1e-7 * values[-1]
+            want = vectors[:, -axis] * values[-axis] ** 0.5
+            want = want * np.sign(want[np.argmax(np.abs(want).round(9))])
+            assert np.abs(np.array([got[scope, i][axis - 1] for i in ids[:n]]) - want).max() < 1e-6
+        assert (next(r for r in table if r.scope_id == scope).rounds > 0) == (tile < n)
+
+
+def test_ordination_refuses_missing_pairs_and_too_few_rounds(spark):
+    df, _, codes = profiles(spark, n=40, missing=0.0, seed=2, copies=False)
+    with pytest.raises(RuntimeError, match="no convergence"):
+        ordination.leading_axes(df, 0.3, tile=16, rounds=1, block=2)
+    broken = df.unionByName(spark.createDataFrame([("s", "x", [1] * 6 + [0] * 6), ("s", "y", [0] * 6 + [1] * 6)], df.schema))
+    for tile in (1024, 16):
+        with pytest.raises(ValueError, match="cannot be compared"):
+            ordination.leading_axes(broken, 0.3, tile=tile)
+    assert ordination.leading_axes(df.limit(0), 0.3)[0].count() == 0
 
 
 def test_global_rank_is_a_permutation(spark):

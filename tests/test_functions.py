@@ -1,5 +1,6 @@
 """Hand cases of the column functions."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lineagespark.functions import accessions, alleles, dates, lineage, scopes, sequences
@@ -72,3 +73,15 @@ def test_translation(spark):
 
 def test_accessions(spark):
     assert values(spark, ["see samn12, ERR9 and GCA_1.2; PRJNA5"], lambda c: accessions.find_accessions(c)) == [["ERR9", "GCA_1.2", "PRJNA5", "SAMN12"]]
+
+
+def test_shared_folder_without_a_setting_is_kept_per_application():
+    from types import SimpleNamespace
+
+    from lineagespark.session import shared_folder
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="local[2]", applicationId="app-1"))
+    assert shared_folder(bare) == shared_folder(bare)
+    cluster = SimpleNamespace(conf=bare.conf, sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="app-2"))
+    with pytest.raises(ValueError):
+        shared_folder(cluster)
