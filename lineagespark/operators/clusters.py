@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from lineagespark.functions.text import clean
 from lineagespark.operators.distances import (
-    TILE, _comparable, _ordered_ids, _payload, _upper, close_pairs, copies_of, sample_pair_totals, tile_pairs, unavailable_counts,
+    TILE, _comparable, _ordered_ids, _payload, _upper, copies_of, sample_pair_totals, tile_pairs, unavailable_counts,
 )
+from lineagespark.operators.near_profiles import near_pairs
 from lineagespark.session import durable
 
 MAX_ROUNDS = 200
@@ -109,7 +110,7 @@ def resolve_entities(records: DataFrame, aliases: DataFrame, focal_aliases: Data
 def threshold_groups(profiles: DataFrame, threshold: float, min_overlap: float, tile: int = TILE) -> DataFrame:
     """Single-linkage groups: components of the pairs within a distance. ``(sample_id, component)``."""
     distinct, members = copies_of(profiles)
-    pairs = close_pairs(distinct.drop("copies"), min_overlap, threshold + 1e-12, tile)
+    pairs = near_pairs(distinct.drop("copies"), min_overlap, threshold + 1e-12, tile)
     groups = components_with_singletons(distinct, pairs.select(F.col("sample_a").alias("a"), F.col("sample_b").alias("b")), "sample_id")
     return members.join(groups.withColumnRenamed("sample_id", "representative"), "representative").select("sample_id", "component")
 
@@ -214,7 +215,7 @@ def _linkage_rounds(pairs: DataFrame) -> DataFrame:
 def profile_groups(profiles: DataFrame, threshold: float, min_overlap: float, tile: int = TILE, task_members: int = 1500) -> DataFrame:
     """Complete-linkage groups of encoded profiles; copies of a profile always stay together."""
     distinct, members = copies_of(profiles)
-    pairs = close_pairs(distinct.drop("copies"), min_overlap, threshold, tile)
+    pairs = near_pairs(distinct.drop("copies"), min_overlap, threshold, tile)
     groups = complete_linkage(distinct.select("scope_id", "sample_id"), pairs, threshold, task_members)
     return members.join(groups.withColumnRenamed("sample_id", "representative"), "representative").select("scope_id", "sample_id", "group_id")
 
@@ -226,7 +227,7 @@ def threshold_sensitivity(profiles: DataFrame, threshold: float, min_overlap: fl
     """
     distinct, members = copies_of(profiles)
     cuts = sorted({threshold / 2, threshold, min(1.0, threshold * 2)})
-    pairs = durable(close_pairs(distinct.drop("copies"), min_overlap, cuts[-1]), "pairs")
+    pairs = durable(near_pairs(distinct.drop("copies"), min_overlap, cuts[-1]), "pairs")
     ids = distinct.select("scope_id", "sample_id", "copies")
     out = []
     for cut in cuts:
