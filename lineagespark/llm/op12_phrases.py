@@ -1,13 +1,12 @@
 """Phrase collocations by stripes.
 
 A stripe belongs to a prefix of words and counts, per next word, how often that word follows it in
-a piece of text; the counter ``""`` holds all other occurrences of the prefix (end of the piece, or a
-next word that cannot make a frequent phrase). Tasks build stripes of their texts in numpy, Spark adds
+a piece of text; next words that cannot make a frequent phrase are left out. Tasks build stripes of their texts in numpy, Spark adds
 them up element by element: cells are combined before the shuffle and keyed by prefix and next word,
 so a stripe of a very common prefix is never in one place. The merged stripes give
 
 * extensions: the frequencies of phrases one word longer,
-* prefix totals: the frequency of the prefix, as the sum of its stripe,
+* prefix totals: the frequency of a prefix is the counter of its last word in the stripe of the words before,
 * subsumption maxima: the most frequent extension of a phrase, to the right by its own stripe and to
   the left by the cells that end with it.
 
@@ -41,8 +40,8 @@ from pyspark.sql import functions as F
 from lineagespark.llm.common import forget, parts, written
 
 LEAST, LONGEST, TOP = 100, 5, 2000
-#: Bytes of text, and words of a vocabulary, that a task works on at a time.
-BLOCK, VOCABULARY = 1 << 23, 500_000
+#: Bytes of text that a task cuts into words at a time, words whose stripes it builds together, words of a vocabulary.
+BLOCK, TOGETHER, VOCABULARY = 1 << 22, 1 << 22, 500_000
 #: Bits of the filter of words; hash buckets for pairs and for triples, and how many of them are merged together.
 FILTER_BITS, BUCKETS, CHUNK = 1 << 27, 1 << 27, 1 << 14
 #: Bits per frequent word while the filter is smaller; bucket numbers that a task gathers before it counts them.
@@ -229,8 +228,7 @@ class Vocabulary(dict):
 
 
 def stripes_of(number: np.ndarray, vocabulary: Vocabulary, at: np.ndarray, short: int, follows: np.ndarray):
-    """``(prefixes, offsets, nexts, counts)``: the stripes of the prefixes of ``short`` words at places ``at``; ``follows``
-    are the next words, 0 for all others."""
+    """``(prefixes, offsets, nexts, counts)``: the stripes of the prefixes of ``short`` words at places ``at`` with the next words ``follows``."""
     # Prefixes are numbered by what they are: word by word, pairs of numbers get a number.
     code = number[at] if short else np.zeros(len(at), np.int64)
     for i in range(1, short):
@@ -239,7 +237,7 @@ def stripes_of(number: np.ndarray, vocabulary: Vocabulary, at: np.ndarray, short
     start = np.flatnonzero(np.concatenate([[True], (cell[1:] >> 32) != (cell[:-1] >> 32)])) if len(cell) else np.zeros(0, np.int64)
     words = vocabulary.words
     prefixes = [b" ".join([words[w] for w in number[p : p + short].tolist()]) for p in at[first[start]].tolist()]
-    nexts = [words[w] if w else b"" for w in (cell & 0xFFFFFFFF).tolist()]
+    nexts = [words[w] for w in (cell & 0xFFFFFFFF).tolist()]
     return prefixes, np.append(start, len(cell)), nexts, counts
 
 
@@ -258,13 +256,13 @@ def stripes_by_length(number: np.ndarray, vocabulary: Vocabulary, lang: str, lon
     # good[i]: the phrase of so many words that starts at i may be frequent.
     good = known[number]
     for length in range(2, longest + 1):
-        at = np.flatnonzero(good[:end])
         longer = good & np.append(good[1:], False)
         if length in sieves:
             asked = np.flatnonzero(longer[:end])
             longer = np.zeros(len(good), bool)
             longer[asked[sieves[length].passes(_phrase_hash(lang, [hashes[asked + i] for i in range(length)]))]] = True
-        yield length, stripes_of(number, vocabulary, at, length - 1, np.where(longer[at], number[at + length - 1], 0))
+        at = np.flatnonzero(longer[:end])
+        yield length, stripes_of(number, vocabulary, at, length - 1, number[at + length - 1])
         good = longer
 
 
@@ -281,12 +279,21 @@ def _blocks(text: bytes) -> Iterator[bytes]:
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, Vocabulary]]:
-    """Texts ``(lang, text)`` as blocks of numbered words of one lang, with the vocabulary that the numbers refer to."""
-    vocabulary, waiting, held = Vocabulary(), {}, 0
-
-    def numbered(lang: str) -> tuple[str, np.ndarray, Vocabulary]:
-        words = b" . ".join(waiting.pop(lang)).replace(b".", b" . ").split()
-        return lang, np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)), vocabulary
+    """Texts ``(lang, text)`` as sequences of numbered words of one lang, with the vocabulary that the numbers refer to."""
+    vocabulary, waiting, held, numbers, words = Vocabulary(), {}, 0, {}, 0
+
+    def number() -> int:
+        many = 0
+        for lang, parts in waiting.items():
+            found = b" . ".join([*parts, b""]).replace(b".", b" . ").split()
+            numbers.setdefault(lang, []).append(np.fromiter(map(vocabulary.__getitem__, found), np.int32, len(found)))
+            many += len(found)
+        waiting.clear()
+        return many
+
+    def ready() -> Iterator[tuple[str, np.ndarray, Vocabulary]]:
+        for lang in list(numbers):
+            yield lang, np.concatenate(numbers.pop(lang)).astype(np.int64), vocabulary
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
@@ -294,13 +301,14 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarr
                 waiting.setdefault(lang, []).append(part)
                 held += len(part)
                 if held >= BLOCK:
-                    for name in list(waiting):
-                        yield numbered(name)
-                    held = 0
-                    if len(vocabulary) > VOCABULARY:
-                        vocabulary = Vocabulary()
-    for name in list(waiting):
-        yield numbered(name)
+                    words, held = words + number(), 0
+                    if words >= TOGETHER or len(vocabulary) > VOCABULARY:
+                        yield from ready()
+                        words = 0
+                        if len(vocabulary) > VOCABULARY:
+                            vocabulary = Vocabulary()
+    number()
+    yield from ready()
 
 
 def _stripe_rows(longest: int, shared):
@@ -329,37 +337,38 @@ def merged_stripes(texts: DataFrame, longest: int, sieves: dict[int, Sieve] | No
     return written(cells.groupBy("lang", "size", "prefix", "next").agg(F.sum("n").alias("n")), "stripes")
 
 
-def count_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``words(lang, n)``; ``phrases(lang, phrase, size, rest, n)``, all frequent ones of two words and more, ``rest`` without the
-    first word; and ``prefixes(lang, phrase, f, extended)``, the totals and largest extensions of all frequent prefixes."""
+def count_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
+    """``words(lang, n)`` and ``phrases(lang, phrase, size, first, rest, n)``: all frequent ones from one word on, ``first`` and
+    ``rest`` without the last and the first word."""
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").filter("text IS NOT NULL")
-    cells = merged_stripes(texts, 1, None)
-    words = written(cells.groupBy("lang").agg(F.sum("n").alias("n")), "words")
-    sieve = word_sieve(cells.filter(F.col("n") >= least).select("lang", F.col("next").alias("phrase")))
-    forget(cells)
+    single = merged_stripes(texts, 1, None)
+    words = written(single.groupBy("lang").agg(F.sum("n").alias("n")), "words")
+    single = single.filter(F.col("n") >= least)
+    sieve = word_sieve(single.select("lang", F.col("next").alias("phrase")))
     cells = merged_stripes(texts, longest, phrase_sieves(texts, sieve, least))
-    totals = cells.groupBy("lang", "prefix").agg(F.sum("n").alias("f"), F.max(F.when(F.col("next") != "", F.col("n"))).alias("extended"))
-    prefixes = written(totals.filter(F.col("f") >= least).withColumnRenamed("prefix", "phrase"), "prefixes")
-    found = cells.filter((F.col("next") != "") & (F.col("n") >= least)).select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "size", "n")
-    phrases = written(found.select("lang", "phrase", "size", F.expr("substring(phrase, instr(phrase, ' ') + 1)").alias("rest"), "n"), "phrases")
-    forget(cells)
-    return words, phrases, prefixes
+    longer = cells.filter(F.col("n") >= least).select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "size", F.col("prefix").alias("first"), "n")
+    longer = longer.select("lang", "phrase", "size", "first", F.expr("substring(phrase, instr(phrase, ' ') + 1)").alias("rest"), "n")
+    none = F.lit(None).cast("string")
+    phrases = written(longer.unionByName(single.select("lang", F.col("next").alias("phrase"), F.lit(1).alias("size"), none.alias("first"), none.alias("rest"), "n")), "phrases")
+    forget(single, cells)
+    return words, phrases
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the best ``top`` phrases of each lang."""
-    words, phrases, prefixes = count_phrases(docs, least, longest)
+    words, every = count_phrases(docs, least, longest)
+    phrases = every.filter("size > 1")
     # Left and right extensions that are as frequent make a phrase part of a longer one.
     left = phrases.filter("size > 2").groupBy("lang", F.col("rest").alias("phrase")).agg(F.max("n").alias("left"))
-    right = prefixes.select("lang", "phrase", F.col("extended").alias("right"))
+    right = phrases.filter("size > 2").groupBy("lang", F.col("first").alias("phrase")).agg(F.max("n").alias("right"))
     whole = phrases.select("lang", "phrase", "size", F.col("n").alias("a")).join(left, ["lang", "phrase"], "left").join(right, ["lang", "phrase"], "left")
     kept = whole.filter(F.coalesce(F.greatest("left", "right"), F.lit(0)) < F.col("a")).select("lang", "phrase", "size", "a")
-    # Every cut of a phrase into two parts; frequencies of parts are prefix totals.
+    # Every cut of a phrase into two parts; parts are frequent phrases themselves.
     split = F.split("phrase", " ")
     cut = kept.select("lang", "phrase", "a", "size", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     joined = lambda a, b: F.array_join(F.slice(split, a, b), " ")
     cut = cut.select("lang", "phrase", "a", "k", joined(F.lit(1), F.col("k")).alias("p"), joined(F.col("k") + 1, F.col("size") - F.col("k")).alias("q"))
-    of = lambda part, name: prefixes.select("lang", F.col("phrase").alias(part), F.col("f").alias(name))
+    of = lambda part, name: every.select("lang", F.col("phrase").alias(part), F.col("n").alias(name))
     cut = cut.join(of("p", "l"), ["lang", "p"]).join(of("q", "r"), ["lang", "q"]).join(words, "lang")
     big = lambda c: f"cast({c} AS decimal(19,0))"
     score = F.expr(f"(cast(1000 AS decimal(4,0)) * {big('a')} * {big('n')}) div ({big('l')} * {big('r')})")

@@ -126,6 +126,7 @@ def test_phrases(spark, monkeypatch, block):
     rng = random.Random(8)
     monkeypatch.setattr(op12_phrases, "BLOCK", block)
     monkeypatch.setattr(op12_phrases, "GATHERED", block)
+    monkeypatch.setattr(op12_phrases, "TOGETHER", block)
     words = ["The", "of", "new", "york", "city", "é", "Ünder", "x\x1cy", "\xa0", "co-op", "a"]
     text = lambda n: "".join(rng.choice(words) + rng.choice([" ", " ", " ", "\t ", ". ", "\n", "!", " , "]) for _ in range(n))
     rows = [(rng.choice(["en", "fr", None]), text(rng.randint(0, 60))) for _ in range(60)]
