@@ -38,7 +38,7 @@ from lineagespark.llm.common import written
 TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text that a task works on at a time, and windows whose alignment it keeps.
-BLOCK, MEMO = 1 << 21, 200_000
+BLOCK, MEMO = 1 << 21, 400_000
 #: Pairs that are sent to all tasks, and bins per doubling of the histogram that chooses them.
 HEAD, BINS = 1 << 20, 8
 
@@ -162,7 +162,7 @@ class Aligner:
         self.memo: dict[tuple, tuple[str, int, bytes]] = {}
 
     def _window(self, a: list[int], b: list[int]) -> tuple[str, int, bytes]:
-        key = tuple(a), tuple(b)
+        key = (*a, -1, *b)
         found = self.memo.get(key)
         if found is None:
             if len(self.memo) >= self.limit:
