@@ -17,7 +17,6 @@ from and not held out; repeated rows are judged alone.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,7 +29,6 @@ from pyspark.sql import functions as F
 ORDER, DOCS_PER_LANGUAGE = 4, 300
 #: Words whose code lengths a task keeps before it starts afresh.
 CACHE_WORDS = 300_000
-_LETTER = re.compile(r"[^\W\d_]")
 OUT = "lang_pred string, score double"
 
 
@@ -135,7 +133,7 @@ class Scorer:
         return [self.bits[[rows[w] for w in words]].sum(axis=0) for words in texts]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        fit = [bool(t) and bool(self.model.langs) and _LETTER.search(t) is not None for t in texts]
+        fit = [bool(t) and bool(self.model.langs) and any(map(str.isalpha, t)) for t in texts]
         totals = iter(self.totals([coded(t) for t, ok in zip(texts, fit, strict=True) if ok]))
         names, scores = [], []
         for ok in fit:

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lineagespark.llm import op11_secrets, op12_phrases, op13_alignment
+from lineagespark.llm import op05_language, op11_secrets, op12_phrases, op13_alignment
 from test_operators import DOCS, SF, awkward, documents, empty
 
 
@@ -224,3 +224,11 @@ def test_byte_bpe_gives_the_ids_of_the_saved_tokenizer(spark, plain):
         assert json.load(f)["model"]["type"] == "BPE"
     texts = [s.decode("utf-8", "ignore") for s in known.a.spelled] + [" " + (t or "") for _, t in documents(spark)]
     assert known.bpe.encode_ordinary_batch(texts) == [e.ids for e in plain[0].encode_batch(texts, add_special_tokens=False)]
+
+
+# -- 5 --------------------------------------------------------------------------------------------
+
+
+def test_fractions_and_circled_digits_are_no_letters():
+    scorer = op05_language.Scorer(op05_language.Model(["en"]))
+    assert scorer.predict(["½ ² ①", "12 _", None, ""]) == (["und"] * 4, [0.0] * 4)
