@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,16 @@ def forget(*frames: DataFrame) -> None:
             folder.getFileSystem(conf).delete(folder, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished plans.
+
+    Its cleaner does so when the driver's JVM collects the plans, which it would otherwise do every
+    half hour only; a job that shuffles several times its input should not keep all of it until then.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def running(df: DataFrame, keys: list[str], slice_col: str, order: list[Column], value: Column, out: str, within: str | None = None) -> DataFrame:
     """``out``: the sum of ``value`` over the rows up to and with each row, in the order of
     ``keys``, ``slice_col``, ``order``.
