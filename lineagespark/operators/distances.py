@@ -219,13 +219,24 @@ def _payload(profiles: DataFrame) -> list[str]:
     return ["codes", "fingerprint"] if "fingerprint" in profiles.columns else ["codes"]
 
 
-def close_pairs(profiles: DataFrame, min_overlap: float, max_distance: float, tile: int = TILE) -> DataFrame:
-    """Pairs of encoded profiles within ``max_distance``, with their exact counts."""
+def close_pairs(profiles: DataFrame, min_overlap: float, max_distance: float, tile: int = TILE, nearest: int | None = None) -> DataFrame:
+    """Pairs of encoded profiles within ``max_distance``, with their exact counts.
+
+    ``nearest`` keeps of these, in each direction, what is within a tile's n-th distance (plus 1e-12).
+    """
 
     def kernel(left, right, same):
         differences, shared, good, _ = _comparable(left, right, min_overlap)
         with np.errstate(divide="ignore", invalid="ignore"):
-            near = good & (differences / np.maximum(shared, 1) <= max_distance)
+            distance = differences / np.maximum(shared, 1)
+        near = good & (distance <= max_distance)
+        if nearest is not None:
+            free = np.where(near, distance, np.inf)
+            if same:
+                np.fill_diagonal(free, np.inf)
+            cut = lambda m: np.partition(m, min(nearest, m.shape[1]) - 1, axis=1)[:, min(nearest, m.shape[1]) - 1] + 1e-12
+            kept = (free <= cut(free)[:, None]) | (free.T <= cut(free.T)[:, None]).T
+            near &= kept | kept.T if same else kept
         i, j = np.nonzero(_upper(near, left, right, same))
         a, b = _ordered_ids(left, right, i, j)
         loci = np.full(len(i), matrix_of(left, "codes").shape[1], dtype=np.int32)
@@ -245,15 +256,16 @@ def with_fractions(pairs: DataFrame) -> DataFrame:
     )
 
 
-def pair_distances(calls: DataFrame, min_overlap: float = 0.9, max_distance: float = 1.0, declared: DataFrame | None = None, tile: int = TILE) -> DataFrame:
+def pair_distances(calls: DataFrame, min_overlap: float = 0.9, max_distance: float = 1.0, declared: DataFrame | None = None, tile: int = TILE, nearest: int | None = None) -> DataFrame:
     """Evidence of every pair of samples within ``max_distance``, in scope.
 
     Distinct profiles are compared once; copies are written out only at the end, where each
-    row is one the caller asked for.
+    row is one the caller asked for. With ``nearest`` at least the n nearest of every sample, ties
+    included, are among the pairs: a distinct profile stands for one sample or more.
     """
     profiles = durable(encode_profiles(calls, locus_universe(calls, declared)), "profiles")
     distinct, members = copies_of(profiles)
-    pairs = close_pairs(distinct.drop("copies"), min_overlap, max_distance, tile)
+    pairs = close_pairs(distinct.drop("copies"), min_overlap, max_distance, tile, nearest)
     return expand_copies(pairs, distinct, members, min_overlap)
 
 

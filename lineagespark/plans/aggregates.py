@@ -178,14 +178,13 @@ def masks(t):
 
 
 @query("A15", f"""
-WITH {_SMALL}, b AS (SELECT i + 1 AS bin, i * {_LEN} // 7 AS lo, (i + 1) * {_LEN} // 7 AS hi FROM range(7) r(i)), cov AS (SELECT DISTINCT p FROM (SELECT DISTINCT s, e FROM iv), range(1, {_LEN + 1}) t(p) WHERE p BETWEEN s AND e AND p % 2 = 0 AND s > 0)
+WITH {_SMALL}, b AS (SELECT i + 1 AS bin, i * {_LEN} // 7 AS lo, (i + 1) * {_LEN} // 7 AS hi FROM range(7) r(i)), cov AS (SELECT DISTINCT p FROM (SELECT DISTINCT s, e FROM iv), range(1, {_LEN + 1}) t(p) WHERE p BETWEEN s AND e AND s > 0)
 SELECT bin, lo + 1 AS start, hi AS "end", (SELECT count(*) FROM cov WHERE p - 1 >= lo AND p - 1 < hi) AS imported_sites, (SELECT count(*) FROM mask WHERE masked AND pos NOT IN (SELECT p FROM cov) AND pos - 1 >= lo AND pos - 1 < hi) AS incomplete_only_sites,
   hi - lo - (SELECT count(*) FROM cov WHERE p - 1 >= lo AND p - 1 < hi) - (SELECT count(*) FROM mask WHERE masked AND pos NOT IN (SELECT p FROM cov) AND pos - 1 >= lo AND pos - 1 < hi) AS retained_sites,
   round(100.0 * (SELECT count(*) FROM cov WHERE p - 1 >= lo AND p - 1 < hi) / (hi - lo), 6) AS imported_percent FROM b""", "intervals sites")
 def profile_bins(t):
-    """Every even covered site as its own interval, so bins hold mixtures."""
-    covered = small_intervals(t).select("node", F.explode(F.sequence("start", "end")).alias("p")).filter("p % 2 = 0").selectExpr("node", "p AS start", "p AS end")
-    out = aggregates.genome_profile(covered, masks(t), _LEN, 7)
+    """Imported and incomplete sites per bin, from all intervals."""
+    out = aggregates.genome_profile(small_intervals(t), masks(t), _LEN, 7)
     return out.drop("incomplete_only_percent").withColumn("imported_percent", F.round("imported_percent", 6))
 
 

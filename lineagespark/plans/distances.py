@@ -139,10 +139,10 @@ _VECTOR_SQL = """vp AS (SELECT a.sample_id AS x, b.sample_id AS y, greatest(0, l
   FROM vectors a JOIN vectors b ON a.locus = b.locus AND a.sample_id < b.sample_id GROUP BY ALL)"""
 
 
-@query("D8", f"WITH {_VECTOR_SQL} SELECT x AS sample_a, y AS sample_b, round(d, 6) AS distance FROM vp WHERE d <= 0.8", "vectors")
+@query("D8", f"WITH {_VECTOR_SQL} SELECT x AS sample_a, y AS sample_b, round(d, 6) AS distance FROM vp", "vectors")
 def vector_pairs(t):
-    """Close pairs by mean per-locus cosine distance; a matrix product per tile."""
-    out = distances.vector_pairs(distances.pack_vectors(vector_cells(t)), 8, max_distance=0.8)
+    """All pairs by mean per-locus cosine distance; a matrix product per tile."""
+    out = distances.vector_pairs(distances.pack_vectors(vector_cells(t)), 8, max_distance=2.0)
     return out.select("sample_a", "sample_b", F.round("distance", 6).alias("distance"))
 
 
@@ -163,11 +163,11 @@ _DNA_PAIR_SQL = f"""{_CATALOGUE_SQL},
 @query("D9", f"""
 WITH {_DNA_PAIR_SQL}
 SELECT sa AS sample_a, sb AS sample_b, CASE WHEN bad = 0 THEN round(d, 6) END AS dna_distance, CASE WHEN bad = 0 THEN CAST(diff AS BIGINT) END AS nucleotide_differences,
-  CASE WHEN bad = 0 THEN CAST(sites AS BIGINT) END AS compared_sites, unequal AS unequal_loci FROM dp WHERE bad > 0 OR d <= 0.1""", "calls")
+  CASE WHEN bad = 0 THEN CAST(sites AS BIGINT) END AS compared_sites, unequal AS unequal_loci FROM dp""", "calls")
 def dna_pairs(t):
     rows = dna_cells(t).groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("locus", "dna"))).alias("c"))
     packed = rows.select("sample_id", F.col("c.locus").alias("loci"), F.col("c.dna").alias("dnas"))
-    return distances.dna_pairs(packed, 0.1).withColumn("dna_distance", F.round("dna_distance", 6))
+    return distances.dna_pairs(packed).withColumn("dna_distance", F.round("dna_distance", 6))
 
 
 @query("D10", f"""
@@ -175,13 +175,13 @@ WITH {_VECTOR_SQL}, c AS (SELECT sample_id, 'L' || CAST(substring(locus, 2) AS I
  w AS (SELECT *, substring(sample_id, 2)::BIGINT % (substring(locus, 2)::BIGINT + 2) AS prot FROM c)
 SELECT x AS sample_a, y AS sample_b, count(*) FILTER (WHERE coalesce(a.allele, '') <> coalesce(b.allele, '')) AS allele_differences,
   count(*) FILTER (WHERE coalesce(a.allele, '') <> coalesce(b.allele, '') AND a.prot = b.prot) AS hidden_changes
-FROM vp JOIN w a ON a.sample_id = x JOIN w b ON b.sample_id = y AND b.locus = a.locus WHERE d <= 0.7 GROUP BY ALL""", "vectors calls")
+FROM vp JOIN w a ON a.sample_id = x JOIN w b ON b.sample_id = y AND b.locus = a.locus GROUP BY ALL""", "vectors calls")
 def hidden_changes(t):
-    """Allele changes, and those that leave the protein equal, for close pairs."""
+    """Allele changes, and those that leave the protein equal, for all pairs."""
     alleles = t.calls.filter("locus < 'L08'").select("sample_id", F.concat(F.lit("L"), F.col("locus").substr(2, 2).cast("int")).alias("locus"), F.coalesce("allele", F.lit("")).alias("allele"))
     group = F.col("sample_id").substr(2, 20).cast("bigint") % (F.col("locus").substr(2, 2).cast("int") + 2)
     cells = distances.unit_vectors(t.vectors).join(alleles, ["sample_id", "locus"]).withColumn("protein_id", group.cast("string"))
-    out = distances.vector_pairs(distances.pack_vectors(cells, ["allele"]), 8, max_distance=0.7)
+    out = distances.vector_pairs(distances.pack_vectors(cells, ["allele"]), 8, max_distance=2.0)
     return out.select("sample_a", "sample_b", "allele_differences", "hidden_changes")
 
 

@@ -255,12 +255,12 @@ def dataset_labels(t):
 
 
 def allele_neighbours(t):
-    pairs = distances.pair_distances(t.calls, OVERLAP, 0.6)
+    pairs = distances.pair_distances(t.calls, OVERLAP, nearest=3)
     return ranking.nearest_within_tolerance(pairs.select("sample_a", "sample_b", "distance"), "distance", 3)
 
 
 @query("W19", f"""
-WITH {_VECTOR_SQL}, {_NEAR3}, ap AS (SELECT a_id AS sample_id, b_id AS other, distance AS d FROM good_pairs WHERE distance <= 0.6 UNION ALL SELECT b_id, a_id, distance FROM good_pairs WHERE distance <= 0.6),
+WITH {_VECTOR_SQL}, {_NEAR3}, ap AS (SELECT a_id AS sample_id, b_id AS other, distance AS d FROM good_pairs UNION ALL SELECT b_id, a_id, distance FROM good_pairs),
  al AS (SELECT sample_id, other FROM (SELECT *, max(d) FILTER (WHERE r <= 3) OVER (PARTITION BY sample_id) AS cut FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY d, other) AS r FROM ap)) WHERE d <= cut + 1e-12),
  b AS (SELECT coalesce(n.sample_id, al.sample_id) AS sample_id, n.other IS NOT NULL AND al.other IS NOT NULL AS hit FROM near3 n FULL OUTER JOIN al ON n.sample_id = al.sample_id AND n.other = al.other)
 SELECT sample_id, count(*) FILTER (WHERE hit) AS shared, count(*) AS united, round(count(*) FILTER (WHERE hit) / count(*), 6) AS jaccard FROM b GROUP BY 1""", "vectors good_pairs")

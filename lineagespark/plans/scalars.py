@@ -264,15 +264,20 @@ def species_and_st(t):
 
 
 @query("P19", """
-WITH p AS (SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS proto, regexp_extract(url, '^[a-z]+://[^/]+/[a-z]+/([0-9]+)', 1) AS num FROM pages)
-SELECT page_id, CASE WHEN proto = 'https' THEN repeat('A', 20) END AS from_url, repeat('B', 20) AS from_text FROM p""")
+WITH p AS (SELECT page_id, split_part(split_part(url, '#', 1), '?', 1) AS bare, replace(upper(md5(html)), '0', 'z') AS id, regexp_matches(url, '^https://') AS safe FROM pages),
+ u AS (SELECT *, regexp_extract(bare, '^https://[^/]+/collections/([1-9A-HJ-NP-Za-km-z]{20,22})(-[^/]*)?/?$', 1) AS plain FROM p)
+SELECT page_id, CASE WHEN plain <> '' THEN plain END AS from_url, CASE WHEN safe THEN substring(id, 1, 21) END AS from_collection, substring(id, 5, 22) AS from_text FROM u""")
 def collection_ids(t):
-    """Collection ids from URLs built on each page's protocol, and from bare text with a slug."""
-    proto = F.regexp_extract("url", "^([a-z]+)://", 1)
-    url = F.concat(proto, F.lit("://host.example/collections/"), F.lit("A" * 20), F.lit("-my-slug/"))
-    bare = F.concat(F.lit(" "), F.lit("B" * 20), F.lit("-"), F.col("page_id").cast("string"))
+    """Collection ids of each page's url, of a collection url on its host named by its content, and of bare text.
+
+    The ids of the last two are digits of the page's MD5 (a zero is no digit of an id).
+    """
+    name = F.regexp_replace(F.upper(F.md5("html")), "0", "z")
+    url = F.concat(F.regexp_extract("url", "^([a-z]+://[^/?#]+)", 1), F.lit("/collections/"), F.substring(name, 1, 21), F.lit("-my-slug/"))
+    bare = F.concat(F.lit(" "), F.substring(name, 5, 22), F.lit("-"), F.col("page_id").cast("string"))
     return t.table("pages").select(
-        "page_id", text.collection_identifier(url).alias("from_url"), text.collection_identifier(bare).alias("from_text")
+        "page_id", text.collection_identifier("url").alias("from_url"), text.collection_identifier(url).alias("from_collection"),
+        text.collection_identifier(bare).alias("from_text"),
     )
 
 

@@ -247,11 +247,11 @@ def requested_pairs(t):
 
 @query("S18", """
 SELECT sample_id, CASE WHEN role = 'input' THEN 0 ELSE 1 END AS part, CASE WHEN role = 'input' THEN region WHEN k % 3 = 0 THEN 'Public_context' ELSE country END AS location, role = 'input' AND k % 40 = 0 AS is_reference, CASE WHEN role = 'input' THEN patient_id ELSE '' END AS patient_id
-FROM samples WHERE role = 'input' OR k % 2 = 1""", "samples")
+FROM samples""", "samples")
 def combined_sheet(t):
     s = t.samples.withColumn("assembly", F.concat("sample_id", F.lit(".fa")))
     inputs = s.filter("role = 'input'").withColumn("location", F.col("region")).withColumn("is_reference", F.col("k") % 40 == 0)
-    selected = s.filter("role = 'context' AND k % 2 = 1").withColumn("country", F.expr("CASE WHEN k % 3 = 0 THEN ' ' ELSE country END"))
+    selected = s.filter("role = 'context'").withColumn("country", F.expr("CASE WHEN k % 3 = 0 THEN ' ' ELSE country END"))
     sheet = sinks.combined_metadata(inputs, selected)
     path = as_csv(sheet, "combined")
     back = readers.read_table(t.spark, path)
