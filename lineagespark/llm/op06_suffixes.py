@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineagespark.llm.common import NO_ID, forget, written
+from lineagespark.llm.common import forget, written
 
 LENGTH = 400
 GRAM, SPACING, REACH, DOUBLINGS = 16, 40, 240, 3
@@ -367,11 +367,13 @@ def repeat_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per document."""
     text = F.coalesce("text", F.lit(""))
     check = F.crc32(text.cast("binary")).bitwiseAND(0x7FFFFFFF)
-    base = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), check.alias("sum"), F.octet_length(text).cast("long").alias("n_bytes"), F.md5(text.cast("binary")).alias("digest"), F.sha2(text, 256).alias("own_sha"))
+    # Rows may lack an id or repeat one, so a text is known by 64 bits of both and 31 of a check sum.
+    doc = F.xxhash64("doc_id", text).alias("doc")
+    base = docs.select("doc_id", doc, check.alias("sum"), F.octet_length(text).cast("long").alias("n_bytes"), F.md5(text.cast("binary")).alias("digest"), F.sha2(text, 256).alias("own_sha"))
     base = written(base, "base")
     equals = written(base.groupBy("digest").agg(F.count(F.lit(1)).alias("n_equal"), F.min(F.struct("doc", "sum")).alias("one")), "equals")
     firsts = equals.select("one.doc", "one.sum").distinct()
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), check.alias("sum"), F.col("text"))
+    texts = docs.select(doc, check.alias("sum"), F.col("text"))
     lost = repeats(texts, firsts, length)
     out = base.join(equals.select("digest", "n_equal"), "digest").join(lost, ["doc", "sum"], "left")
     whole = (F.col("n_equal") > 1) & (F.col("n_bytes") >= length)

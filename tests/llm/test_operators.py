@@ -383,3 +383,22 @@ def test_pipeline_joins_five_word_shingles_at_80_percent(spark):
     got = {r["doc_id"] for r in corpus_pipeline.jaccard_join(spark, docs, SF).collect()}
     assert got == {i for i, r in enumerate(root) if i == r}
     assert not got & {1, 9, 17} and got >= {2, 10, 18}
+
+
+def test_suffixes_tell_texts_of_equal_check_sum_apart(spark):
+    import random
+    import zlib
+
+    draw = random.Random(5)
+    line = lambda n: "".join(draw.choice("abcdefghij klmnop") for _ in range(n))
+    shared, other, seen, pair = line(450), line(480), {}, None
+    for i in range(400_000):
+        mine = (shared if i % 2 else other) + line(12)
+        key = zlib.crc32(mine.encode()) & 0x7FFFFFFF
+        before = seen.setdefault(key, mine)
+        if before[:450] != mine[:450]:
+            pair = before, mine
+            break
+    assert pair
+    docs = spark.createDataFrame([(None, pair[0]), (None, pair[1]), (5, "<" + shared + ">")], "doc_id long, text string")
+    assert sorted(r["n_removed"] for r in op06_suffixes.repeat_report(docs).collect()) == [0, 450, 450]
