@@ -16,22 +16,17 @@ from lineagespark.session import durable
 INFINITE = 1_000_000_000
 
 
-def node_levels(closure: DataFrame) -> DataFrame:
-    """Steps from the root of every node: ``(tree_id, node, level)``."""
-    return closure.groupBy("tree_id", "node").agg(F.max("steps").cast("int").alias("level"))
-
-
-def parsimony(tree: DataFrame, closure: DataFrame, observed: DataFrame, seed: int = 1729, ranges: bool = True):
+def parsimony(tree: DataFrame, depths: DataFrame, observed: DataFrame, seed: int = 1729, ranges: bool = True):
     """Smallest number of state changes, with every optimal state and change count range.
 
-    ``observed(node, state)`` gives tip states; tips without one are free. Returns a dict of
+    ``depths(tree_id, node, level)`` is :func:`tours.tree_depths`. ``observed(node, state)`` gives tip states; tips without one are free. Returns a dict of
     tables: ``optimum(tree_id, changes)``, ``states(tree_id, node, allowed, state)`` where
     ``state`` is one reproducible optimal history, ``branches(tree_id, parent, child, source,
     target)`` of that history, ``moves(tree_id, parent, child, source, target)`` holding every
     optimal transition, and ``ranges(tree_id, source, target, min_changes, max_changes)``.
     """
     states = durable(observed.select("state").filter("state IS NOT NULL").distinct(), "states")
-    nodes = durable(tree.select("tree_id", "node", "parent", "is_tip").join(node_levels(closure), ["tree_id", "node"]), "nodes")
+    nodes = durable(tree.select("tree_id", "node", "parent", "is_tip").join(depths.select("tree_id", "node", F.col("level").cast("int").alias("level")), ["tree_id", "node"]), "nodes")
     depth = nodes.agg(F.max("level")).first()[0] or 0
     seen = observed.filter("state IS NOT NULL").select("node", F.col("state").alias("_seen"))
     tips = nodes.filter("is_tip").join(seen, "node", "left").crossJoin(states)
@@ -136,12 +131,12 @@ def undirected_pairs(df: DataFrame) -> DataFrame:
     return df.withColumn("a", F.least("source", "target")).withColumn("b", F.greatest("source", "target"))
 
 
-def root_sensitivity(rerooted: DataFrame, closure: DataFrame, observed: DataFrame, seed: int = 1729) -> DataFrame:
+def root_sensitivity(rerooted: DataFrame, depths: DataFrame, observed: DataFrame, seed: int = 1729) -> DataFrame:
     """Unordered pairs that can change under each tested root, all roots in the same rounds.
 
     ``rerooted`` carries one tree id per tested root.
     """
-    result = parsimony(rerooted, closure, observed, seed, ranges=False)
+    result = parsimony(rerooted, depths, observed, seed, ranges=False)
     options = result["moves"].groupBy("tree_id", "child").agg(F.count(F.lit(1)).alias("options"))
     moves = undirected_pairs(result["moves"].filter("source <> target").join(options, ["tree_id", "child"]))
     per = moves.groupBy("tree_id", "a", "b").agg((F.max("options") > 1).alias("ambiguous"))

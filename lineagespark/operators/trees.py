@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineagespark.functions.text import clean
-from lineagespark.operators.distances import tile_pairs
+from lineagespark.operators.tours import common_nodes, previous, running_sums, subtree_sums, tip_places, tips_below
 from lineagespark.session import durable
 
 MAX_DOUBLINGS = 40
@@ -63,54 +63,77 @@ def root_paths(tree: DataFrame, closure: DataFrame | None = None) -> DataFrame:
     )
 
 
-def patristic(pairs: DataFrame, paths: DataFrame) -> DataFrame:
+def patristic(pairs: DataFrame, order: DataFrame) -> DataFrame:
     """Path length between the tips of each requested pair of one tree."""
-    side = lambda s: paths.select("tree_id", F.col("sample_id").alias(f"sample_{s}"), F.col("path").alias(f"p_{s}"), F.col("depths").alias(f"d_{s}"))
-    df = pairs.join(side("a"), "sample_a").join(side("b"), ["tree_id", "sample_b"])
-    same = F.zip_with("p_a", "p_b", lambda x, y: x.eqNullSafe(y))
-    first_split = F.array_position(same, False)
-    shared = F.when(first_split == 0, F.size(same)).otherwise(first_split.cast("int") - 1)
-    df = df.withColumn("_n", shared)
-    lca = F.element_at("d_a", F.col("_n"))
-    tip = lambda s: F.element_at(f"d_{s}", -1)
-    return df.select(
-        *pairs.columns, F.element_at("p_a", F.col("_n")).alias("ancestor"), (tip("a") + tip("b") - 2 * lca).alias("distance"),
-        tip("a").alias("root_to_tip_a"), tip("b").alias("root_to_tip_b"),
+    side = lambda s: order.filter("is_tip").select("tree_id", F.col("node").alias(f"sample_{s}"), F.col("enter").alias(f"_{s}"), F.col("depth").alias(f"root_to_tip_{s}"))
+    df = durable(pairs.join(side("a"), "sample_a").join(side("b"), ["tree_id", "sample_b"]).withColumn("lo", F.least("_a", "_b")).withColumn("hi", F.greatest("_a", "_b")), "pairs")
+    above = order.select("tree_id", F.col("node").alias("ancestor"), F.col("depth").alias("_depth"))
+    met = common_nodes(order, df).join(above, ["tree_id", "ancestor"])
+    return df.join(met, ["tree_id", "lo", "hi"]).select(
+        *pairs.columns, "ancestor", (F.col("root_to_tip_a") + F.col("root_to_tip_b") - 2 * F.col("_depth")).alias("distance"), "root_to_tip_a", "root_to_tip_b",
     )
 
 
-def distance_date_correlation(paths: DataFrame, dates: DataFrame, tile: int = 512) -> DataFrame:
+def tip_gaps(order: DataFrame) -> DataFrame:
+    """Per tip the depth at which its root path leaves that of the tip before it: ``(tree_id, node, place, depth, gap)``.
+
+    Of all nodes whose first tip is this one, the highest hangs on that branching point.
+    """
+    first = order.filter("tips > 0").groupBy("tree_id", F.col("first_tip").alias("place")).agg(F.min_by("parent", "enter").alias("ancestor"))
+    above = order.select("tree_id", F.col("node").alias("ancestor"), F.col("depth").alias("gap"))
+    tips = order.filter("is_tip").select("tree_id", "node", F.col("first_tip").alias("place"), "depth")
+    return tips.join(first, ["tree_id", "place"]).join(above, ["tree_id", "ancestor"], "left").select("tree_id", "node", "place", "depth", F.coalesce("gap", F.lit(0.0)).alias("gap"))
+
+
+def distance_date_correlation(order: DataFrame, dates: DataFrame, tile: int = 512) -> DataFrame:
     """Pearson correlation of patristic distance and absolute date gap over all pairs of dated tips.
 
-    A tile of the pair matrix leaves only six sums. ``dates(sample_id, date)``.
+    ``dates(sample_id, date)``. Tips are dealt into blocks in tour order. The branching point of two
+    tips is the shallowest gap between them: the last gaps of one block, the blocks between, the first
+    gaps of the other. A tile of two blocks leaves only six sums.
     """
-    rows = paths.join(dates.filter("date IS NOT NULL"), "sample_id").select(F.col("tree_id").alias("scope_id"), "sample_id", "path", "depths", "date")
-
-    def kernel(left, right, same):
-        a, b = left["path"].to_pylist(), right["path"].to_pylist()
-        da, db = left["depths"].to_pylist(), right["depths"].to_pylist()
-        height = max(max(map(len, a)), max(map(len, b)))
-        names: dict[str, int] = {}
-        code = lambda rows, fill: np.array([[names.setdefault(x, len(names)) for x in r] + [fill] * (height - len(r)) for r in rows])
-        x, y = code(a, -1), code(b, -2)
-        depth = np.array([r + [0.0] * (height - len(r)) for r in da])
-        alive = np.ones((len(x), len(y)), dtype=bool)
-        lca = np.zeros(alive.shape)
-        for level in range(height):
-            alive &= x[:, level, None] == y[None, :, level]
-            lca = np.where(alive, depth[:, level, None], lca)
-        distance = np.array([r[-1] for r in da])[:, None] + np.array([r[-1] for r in db])[None, :] - 2 * lca
-        gap = np.abs(left["date"].to_numpy()[:, None] - right["date"].to_numpy()[None, :])
-        use = np.triu(np.ones_like(alive), 1) if same else np.ones_like(alive)
-        d, g = distance[use], gap[use]
-        sums = [float(len(d)), d.sum(), g.sum(), (d * d).sum(), (g * g).sum(), (d * g).sum()]
-        return {k: pa.array([v], pa.float64()) for k, v in zip(("n", "x", "y", "xx", "yy", "xy"), sums)}
-
-    tiles = tile_pairs(rows, "sample_id", ["path", "depths", "date"], kernel, "n double, x double, y double, xx double, yy double, xy double", tile)
-    s = tiles.agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    rows = tip_gaps(order).join(dates.select(F.col("sample_id").alias("node"), F.col("date").cast("double").alias("date")), "node", "left")
+    block = F.floor(F.col("place") / tile).cast("int")
+    packed = F.array_sort(F.collect_list(F.struct("place", "depth", "gap", "date")))
+    blocks = durable(rows.groupBy("tree_id", block.alias("b")).agg(packed.alias("p"), F.min("gap").alias("low")).select("tree_id", "b", "low", F.col("p.depth").alias("depth"), F.col("p.gap").alias("gap"), F.col("p.date").alias("date")), "blocks")
+    counts = blocks.groupBy("tree_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    listed = blocks.join(counts, "tree_id").select("tree_id", F.col("b").alias("a"), F.explode(F.sequence("b", F.col("n") - 1)).alias("b"))
+    lows = listed.join(blocks.select("tree_id", "b", "low"), ["tree_id", "b"])
+    between = Window.partitionBy("tree_id", "a").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = lows.withColumn("between", F.min(F.when(F.col("b") > F.col("a"), F.col("low"))).over(between)).select("tree_id", "a", "b", "between")
+    side = lambda s: blocks.select("tree_id", F.col("b").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("depth", "gap", "date")])
+    context = order.sparkSession.sparkContext
+    wanted = max(context.defaultParallelism * 2, int(order.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    loaded = tiles.join(side("a"), ["tree_id", "a"]).join(side("b"), ["tree_id", "b"]).repartition(wanted, "tree_id", "a", "b")
+
+    def sums(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                array = lambda c: np.array(r[c], dtype=float)
+                da, db, ga, gb, ta, tb = (array(c) for c in ("depth_a", "depth_b", "gap_a", "gap_b", "date_a", "date_b"))
+                if r["a"] == r["b"]:
+                    # Row i, column j > i: the smallest of gaps i + 1 to j.
+                    spread = np.where(np.arange(len(ga))[None, :] > np.arange(len(ga))[:, None], ga[None, :], np.inf)
+                    meet = np.minimum.accumulate(spread, axis=1)
+                    use = np.isfinite(meet)
+                else:
+                    tail = np.append(np.minimum.accumulate(ga[:0:-1])[::-1], np.inf)
+                    meet = np.minimum(tail[:, None], np.minimum.accumulate(gb)[None, :])
+                    if r["between"] is not None:
+                        meet = np.minimum(meet, r["between"])
+                    use = np.ones_like(meet, dtype=bool)
+                use &= ~np.isnan(ta)[:, None] & ~np.isnan(tb)[None, :]
+                d = (da[:, None] + db[None, :] - 2 * np.where(use, meet, 0.0))[use]
+                g = np.abs(ta[:, None] - tb[None, :])[use]
+                out.append([float(len(d)), d.sum(), g.sum(), (d * d).sum(), (g * g).sum(), (d * g).sum()])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in np.array(out).reshape(-1, 6).T], names=["n", "x", "y", "xx", "yy", "xy"])
+
+    parts = loaded.drop("tree_id").mapInArrow(sums, "n double, x double, y double, xx double, yy double, xy double")
+    s = parts.agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
     cov = F.col("n") * F.col("xy") - F.col("x") * F.col("y")
     spread = F.sqrt(F.col("n") * F.col("xx") - F.col("x") * F.col("x")) * F.sqrt(F.col("n") * F.col("yy") - F.col("y") * F.col("y"))
-    return s.select(F.col("n").cast("bigint").alias("pairs"), F.when(spread > 0, cov / spread).alias("correlation"))
+    return s.select(F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("pairs"), F.when(spread > 0, cov / spread).alias("correlation"))
 
 
 def tree_problems(tree: DataFrame, expected: DataFrame | None = None) -> DataFrame:
@@ -134,97 +157,108 @@ def tree_problems(tree: DataFrame, expected: DataFrame | None = None) -> DataFra
     return out
 
 
-def _maximal(tree: DataFrame, closure: DataFrame, good: DataFrame) -> DataFrame:
+def _maximal(order: DataFrame, good: DataFrame) -> DataFrame:
     """Nodes that are good while their parent is not: ``good(tree_id, node)``."""
-    parents = tree.select("tree_id", "node", "parent")
-    marked = good.join(parents, ["tree_id", "node"])
+    marked = good.join(order.select("tree_id", "node", "parent"), ["tree_id", "node"])
     above = good.select("tree_id", F.col("node").alias("parent"))
     return marked.join(above, ["tree_id", "parent"], "left_anti").select("tree_id", "node")
 
 
-def focal_clades(tree: DataFrame, closure: DataFrame, samples: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def focal_clades(order: DataFrame, samples: DataFrame) -> DataFrame:
     """Maximal focal-only clades with their dates, patients and places.
 
     ``samples(sample_id, origin, collection_date, patient_id, location)``.
     """
     focal = F.lower(clean("origin")) != "context"
-    tips = closure.join(samples.withColumn("node", F.col("sample_id")).select("node", focal.alias("focal")), "node")
-    counts = tips.groupBy("tree_id", "ancestor").agg(F.count(F.lit(1)).alias("n"), F.count_if("focal").alias("f"))
-    pure = counts.filter("n = f").select("tree_id", F.col("ancestor").alias("node"))
-    tops = _maximal(tree, closure, pure).withColumnRenamed("node", "ancestor")
-    members = closure.join(tops, ["tree_id", "ancestor"]).join(samples.withColumnRenamed("sample_id", "node"), "node")
-    return members.groupBy("tree_id", F.col("ancestor").alias("clade")).agg(
+    counts = samples.groupBy(F.col("sample_id").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.count_if(focal).alias("f"))
+    pure = durable(subtree_sums(order, counts, ["n", "f"]).filter("n > 0 AND n = f").select("tree_id", "node"), "pure")
+    members = tips_below(order, _maximal(order, pure)).join(samples.withColumnRenamed("sample_id", "node"), "node")
+    return members.groupBy("tree_id", F.col("top").alias("clade")).agg(
         F.min("node").alias("first_sample"), F.count(F.lit(1)).alias("sample_count"), F.countDistinct(F.when(clean("patient_id") != "", F.col("patient_id"))).alias("patient_count"),
         F.countDistinct("location").alias("locations"), F.min("collection_date").alias("first_date"), F.max("collection_date").alias("last_date"),
         F.countDistinct("collection_date").alias("distinct_dates"),
     ).withColumn("spans_periods", F.col("distinct_dates") >= 2)
 
 
-def clade_members(tree: DataFrame, closure: DataFrame, clades: DataFrame) -> DataFrame:
-    """``(tree_id, sample_id, group_id)`` of clades named by their node."""
-    tips = tree.filter("is_tip").select("tree_id", "node")
-    top = clades.select("tree_id", F.col("clade").alias("ancestor"))
-    return closure.join(top, ["tree_id", "ancestor"]).join(tips, ["tree_id", "node"], "left_semi").select("tree_id", F.col("node").alias("sample_id"), F.col("ancestor").alias("group_id"))
+def clade_members(order: DataFrame, clades: DataFrame) -> DataFrame:
+    """``(tree_id, sample_id, group_id)`` of clades named by their node, none below another."""
+    found = tips_below(order, clades.select("tree_id", F.col("clade").alias("node")))
+    return found.select("tree_id", F.col("node").alias("sample_id"), F.col("top").alias("group_id"))
 
 
-def date_clusters(tree: DataFrame, closure: DataFrame, dates: DataFrame) -> DataFrame:
+def date_clusters(order: DataFrame, dates: DataFrame) -> DataFrame:
     """Maximal clades whose dated tips share one date: ``(tree_id, cluster, sample_id, date)``.
 
-    ``dates(sample_id, date)``; tips without a row are left out.
+    ``dates(sample_id, date)``, one row a tip; tips without a row are left out. A clade has one date
+    when no date in its range of dated tips differs from the one before it.
     """
-    tips = closure.join(dates.withColumnRenamed("sample_id", "node"), "node")
-    spread = tips.groupBy("tree_id", "ancestor").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    single = spread.filter("lo = hi").select("tree_id", F.col("ancestor").alias("node"))
-    tops = _maximal(tree, closure, single).withColumnRenamed("node", "ancestor")
-    return tips.join(tops, ["tree_id", "ancestor"]).select("tree_id", F.col("ancestor").alias("cluster"), F.col("node").alias("sample_id"), "date")
-
-
-def common_ancestor(closure: DataFrame, anchors: DataFrame, node_dates: DataFrame | None = None) -> DataFrame:
+    known = dates.filter("date IS NOT NULL").select(F.col("sample_id").alias("node"), "date")
+    marked = tip_places(order).join(known, "node")
+    changed = previous(marked, ["tree_id"], "place", "date", "_before").select("tree_id", "node", "place", (F.col("_before") != F.col("date")).cast("bigint").alias("changes"))
+    changed = durable(changed.na.fill(0, ["changes"]), "changes")
+    sums = subtree_sums(order, changed.select("node", F.lit(1).alias("dated"), "changes"), ["dated", "changes"])
+    # The first dated tip of a clade may differ from the tip before it, which is outside the clade.
+    starts = running_sums(tip_places(order).join(known.select("node", F.lit(1).cast("bigint").alias("number")), "node", "left").na.fill(0, ["number"]), ["number"])
+    starts = durable(starts, "starts")
+    ordinal = starts.join(changed.select("tree_id", "node", "changes"), ["tree_id", "node"]).select("tree_id", F.col("number").alias("_nth"), F.col("changes").alias("_own"))
+    before = starts.select("tree_id", (F.col("place") + 1).alias("first_tip"), "number")
+    nth = order.filter("tips > 0").select("tree_id", "node", "first_tip").join(before, ["tree_id", "first_tip"], "left").select("tree_id", "node", (F.coalesce("number", F.lit(0)) + 1).alias("_nth"))
+    single = sums.filter("dated > 0").join(nth, ["tree_id", "node"]).join(ordinal, ["tree_id", "_nth"]).filter("changes = _own").select("tree_id", "node")
+    tops = _maximal(order, durable(single, "single"))
+    return tips_below(order, tops).join(dates.withColumnRenamed("sample_id", "node"), "node").select("tree_id", F.col("top").alias("cluster"), F.col("node").alias("sample_id"), "date")
+
+
+def common_ancestor(order: DataFrame, anchors: DataFrame, node_dates: DataFrame | None = None) -> DataFrame:
     """Deepest node above every anchor of a set, and its date.
 
-    ``anchors(set_id, node)``; the deepest common ancestor is the nearest to any one anchor.
+    ``anchors(set_id, node)``; the deepest node above the first and the last anchor in tour order is
+    above all of them.
     """
-    sizes = anchors.groupBy("set_id").agg(F.countDistinct("node").alias("n"), F.min("node").alias("one"))
-    above = anchors.distinct().join(closure, "node").groupBy("set_id", "tree_id", "ancestor").agg(
-        F.countDistinct("node").alias("have"), F.min(F.struct("node", "steps")).alias("first")
-    )
-    common = above.join(sizes, "set_id").filter("have = n")
-    best = common.groupBy("set_id", "tree_id").agg(F.min(F.struct(F.col("first.steps").alias("steps"), "ancestor")).alias("b"))
-    out = best.select("set_id", "tree_id", F.col("b.ancestor").alias("mrca"))
+    distinct = anchors.select("set_id", "node").distinct()
+    sizes = distinct.groupBy("set_id").agg(F.count(F.lit(1)).alias("n"))
+    found = distinct.join(order.select("tree_id", "node", "enter"), "node").groupBy("set_id", "tree_id").agg(F.count(F.lit(1)).alias("have"), F.min("enter").alias("lo"), F.max("enter").alias("hi"))
+    whole = durable(found.join(sizes, "set_id").filter("have = n").select("set_id", "tree_id", "lo", "hi"), "sets")
+    out = whole.join(common_nodes(order, whole), ["tree_id", "lo", "hi"]).select("set_id", "tree_id", F.col("ancestor").alias("mrca"))
     if node_dates is None:
         return out
     return out.join(node_dates.select(F.col("node").alias("mrca"), "numeric_date"), "mrca", "left")
 
 
-def restrict_tree(tree: DataFrame, closure: DataFrame, keep: DataFrame) -> DataFrame:
+def restrict_tree(order: DataFrame, keep: DataFrame) -> DataFrame:
     """The tree on a tip set: empty branches dropped, single-child nodes joined, lengths summed.
 
-    ``keep(view, node)`` holds the tips of each view; the view becomes the tree id.
+    ``keep(view, node)`` holds the tips of each view; the view becomes the tree id. The kept inner
+    nodes are the common ancestors of neighbouring tips, and the parent of a kept node is its common
+    ancestor with the kept node before it.
     """
-    live = closure.join(keep, "node").select("view", F.col("tree_id"), F.col("ancestor").alias("node")).distinct()
-    parents = tree.select("tree_id", "node", "parent", "is_tip")
-    kids = live.join(parents, ["tree_id", "node"]).filter("parent IS NOT NULL").groupBy("view", "tree_id", F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("kids"))
-    kept = live.join(parents, ["tree_id", "node"]).join(kids, ["view", "tree_id", "node"], "left").filter("is_tip OR kids >= 2").select("view", "tree_id", "node", "is_tip")
-    kept = durable(kept, "kept")
-    above = closure.filter("steps > 0").join(kept.select("view", "tree_id", "node"), ["tree_id", "node"]).join(
-        kept.select("view", "tree_id", F.col("node").alias("ancestor")), ["view", "tree_id", "ancestor"]
-    )
-    nearest = above.groupBy("view", "node").agg(F.min(F.struct("steps", "ancestor", "length")).alias("b"))
-    return kept.join(nearest, ["view", "node"], "left").select(
-        F.col("view").alias("tree_id"), "node", F.col("b.ancestor").alias("parent"), F.coalesce("b.length", F.lit(0.0)).alias("branch_length"), "is_tip"
-    )
-
-
-def reroot(tree: DataFrame, closure: DataFrame, roots: DataFrame) -> DataFrame:
+    key = ["view", "tree_id"]
+    tips = durable(keep.select("view", "node").distinct().join(order.select("tree_id", "node", "enter", "is_tip"), "node"), "view_tips")
+    steps = lambda rows: previous(rows, key, "enter", "enter", "lo").withColumnRenamed("enter", "hi")
+    forks = common_nodes(order, steps(tips).filter("lo IS NOT NULL"))
+    inner = steps(tips).filter("lo IS NOT NULL").join(forks, ["tree_id", "lo", "hi"]).select("view", "tree_id", F.col("ancestor").alias("node")).distinct()
+    kept = inner.join(order.select("tree_id", "node", "enter", "is_tip"), ["tree_id", "node"]).unionByName(tips).distinct()
+    linked = durable(steps(durable(kept, "kept")), "linked")
+    parents = common_nodes(order, linked.filter("lo IS NOT NULL"))
+    depth = order.select("tree_id", "node", "depth")
+    above = depth.select("tree_id", F.col("node").alias("parent"), F.col("depth").alias("_above"))
+    out = linked.join(parents, ["tree_id", "lo", "hi"], "left").withColumnRenamed("ancestor", "parent").join(depth, ["tree_id", "node"]).join(above, ["tree_id", "parent"], "left")
+    length = F.when(F.col("parent").isNull(), 0.0).otherwise(F.col("depth") - F.col("_above"))
+    return out.select(F.col("view").alias("tree_id"), "node", "parent", length.alias("branch_length"), "is_tip")
+
+
+def reroot(tree: DataFrame, order: DataFrame, roots: DataFrame) -> DataFrame:
     """The tree re-rooted on the branch of a tip, one copy per ``roots(new_id, tip)``.
 
     A new root joins the tip (length zero) and its old parent (the whole branch). Edges on the
     old root path turn round. An old root left with one child is joined.
     """
-    path = roots.join(closure.withColumnRenamed("node", "tip"), "tip").select("new_id", "tree_id", "tip", F.col("ancestor").alias("node"), "steps")
+    at = order.select("tree_id", F.col("node").alias("tip"), F.col("enter").alias("_enter"), F.col("level").alias("_level"))
     # The tested roots are a handful by contract; every copy of the tree is asked for.
-    copies = tree.crossJoin(F.broadcast(roots))
-    edges = copies.join(path.select("new_id", "tree_id", "node", "steps"), ["new_id", "tree_id", "node"], "left")
+    tested = F.broadcast(roots.join(at, "tip"))
+    numbers = order.select("tree_id", "node", "enter", "leave", "level")
+    copies = tree.join(numbers, ["tree_id", "node"]).join(tested, "tree_id")
+    on_way = (F.col("enter") <= F.col("_enter")) & (F.col("_enter") <= F.col("leave"))
+    edges = copies.withColumn("steps", F.when(on_way, F.col("_level") - F.col("level"))).drop("enter", "leave", "level", "_enter", "_level")
     off_path = edges.filter("steps IS NULL").select("new_id", "node", "parent", "branch_length", "is_tip")
     new_root = roots.select("new_id", F.concat(F.lit("root@"), "tip").alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(0.0).alias("branch_length"), F.lit(False).alias("is_tip"))
     tip = roots.select("new_id", F.col("tip").alias("node"), F.concat(F.lit("root@"), "tip").alias("parent"), F.lit(0.0).alias("branch_length"), F.lit(True).alias("is_tip"))

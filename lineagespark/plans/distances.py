@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lineagespark.functions import lineage, scopes
-from lineagespark.operators import alignments, distances, ranking, trees
+from lineagespark.operators import alignments, distances, ranking, tours, trees
 from lineagespark.plans.joins import _CATALOGUE_SQL, allele_catalogue
 from lineagespark.plans.registry import query
 from lineagespark.session import durable
@@ -196,8 +196,7 @@ def patristic(t):
     pairs = t.table("customer").select(
         F.concat(F.lit("C"), "c_custkey").alias("sample_a"), F.concat(F.lit("C"), ((F.col("c_custkey") * 13 + 5) % n).cast("string")).alias("sample_b")
     )
-    paths = trees.root_paths(t.tree)
-    out = trees.patristic(pairs, paths)
+    out = trees.patristic(pairs, tours.tree_order(t.tree))
     return out.select("sample_a", "sample_b", F.round("distance", 6).alias("distance"), F.round("root_to_tip_a", 6).alias("root_to_tip"))
 
 
@@ -243,7 +242,7 @@ SELECT count(*) AS pairs, round(corr(d, g), 6) AS correlation FROM p""", "closur
 def distance_date_correlation(t):
     """Correlation of patristic distance and date gap over all tip pairs, summed per tile."""
     dates_ = t.tree.filter("is_tip").select(F.col("node").alias("sample_id"), (2000.5 + F.col("node").substr(2, 20).try_cast("bigint") % 20).alias("date"))
-    out = trees.distance_date_correlation(trees.root_paths(t.tree), dates_)
+    out = trees.distance_date_correlation(tours.tree_order(t.tree), dates_)
     return out.select("pairs", F.round("correlation", 6).alias("correlation"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lineagespark.operators import clusters, distances, joins, network, ranking, trees
+from lineagespark.operators import clusters, distances, joins, network, ranking, tours, trees
 from lineagespark.plans.distances import OVERLAP, selection_profiles
 from lineagespark.plans.inputs import AS_OF
 from lineagespark.plans.joins import alias_table
@@ -80,7 +80,7 @@ SELECT 't' AS tree_id, anc AS clade, min(sample_id) AS first_sample, count(*) AS
   min(collection_date) AS first_date, max(collection_date) AS last_date, count(DISTINCT collection_date) AS distinct_dates, count(DISTINCT collection_date) >= 2 AS spans_periods
 FROM tops JOIN closure USING (anc) JOIN tips ON sample_id = node GROUP BY anc""", "closure samples")
 def focal_clades(t):
-    return trees.focal_clades(t.tree, durable(trees.ancestors(t.tree)), tip_samples(t))
+    return trees.focal_clades(tours.tree_order(t.tree), tip_samples(t))
 
 
 def cluster_dates(t):
@@ -96,7 +96,7 @@ _DATES = """dd AS (SELECT sample_id, region || CASE WHEN country LIKE '%3' THEN
 
 @query("G8", f"WITH {_DATES} SELECT 't' AS tree_id, cluster, sample_id, date FROM dc", "closure samples")
 def date_clusters(t):
-    return trees.date_clusters(t.tree, trees.ancestors(t.tree), cluster_dates(t))
+    return trees.date_clusters(tours.tree_order(t.tree), cluster_dates(t))
 
 
 def observed_states(t):
@@ -121,7 +121,7 @@ WITH {_STATES}
 SELECT node, string_agg(state, ',' ORDER BY state) AS allowed, (SELECT changes FROM opt) AS optimum_changes FROM (SELECT * FROM a3 UNION ALL SELECT * FROM a2 UNION ALL SELECT * FROM a1) GROUP BY 1""", "tree samples")
 def parsimony(t):
     """Optimal states of every inner node and the smallest number of changes."""
-    result = network.parsimony(t.tree, durable(trees.ancestors(t.tree)), observed_states(t))
+    result = network.parsimony(t.tree, tours.tree_depths(t.tree), observed_states(t))
     inner = t.tree.filter("NOT is_tip").select("tree_id", "node")
     return result["states"].join(inner, ["tree_id", "node"]).join(result["optimum"], "tree_id").select("node", F.array_join("allowed", ",").alias("allowed"), F.col("changes").alias("optimum_changes"))
 
@@ -130,20 +130,20 @@ def rerooted_trees(t, limit=5):
     closure = durable(trees.ancestors(t.tree))
     samples = observed_states(t).join(t.samples.select(F.col("sample_id").alias("node"), (F.col("role") == "input").alias("is_input")), "node")
     roots = network.choose_roots(t.tree, closure, samples, limit).select(F.col("tip").alias("new_id"), "tip")
-    return durable(trees.reroot(t.tree, closure, roots)), samples
+    return durable(trees.reroot(t.tree, tours.tree_order(t.tree), roots)), samples
 
 
 @query("G10")
 def roots(t):
     """Possible changes under several roots."""
     rerooted, samples = rerooted_trees(t)
-    return network.root_sensitivity(rerooted, durable(trees.ancestors(rerooted)), samples.select("node", "state"))
+    return network.root_sensitivity(rerooted, tours.tree_depths(rerooted), samples.select("node", "state"))
 
 
 @query("G11")
 def location_network(t):
     """Directed changes with ranges, counts of inputs and context at both ends."""
-    result = network.parsimony(t.tree, durable(trees.ancestors(t.tree)), observed_states(t))
+    result = network.parsimony(t.tree, tours.tree_depths(t.tree), observed_states(t))
     samples = observed_states(t).join(t.samples.select(F.col("sample_id").alias("node"), (F.col("role") == "input").alias("is_input")), "node")
     nodes = network.state_nodes(samples)
     end = lambda c: nodes.select(F.col("state").alias(c), F.col("input_count").alias(f"{c}_inputs"), F.col("context_count").alias(f"{c}_context"))
@@ -206,7 +206,7 @@ WITH a AS (SELECT 'set' || (k % 40) || CASE WHEN k % 3 = 0 THEN country ELSE reg
 SELECT set_id, 't' AS tree_id, arg_max(anc, depth) AS mrca FROM c JOIN n USING (set_id) JOIN d ON d.node = anc WHERE have = n GROUP BY 1""", "closure samples")
 def mrca(t):
     sets = t.samples.selectExpr("concat('set', k % 40, CASE WHEN k % 3 = 0 THEN country ELSE region END) AS set_id", "sample_id AS node")
-    return trees.common_ancestor(trees.ancestors(t.tree), sets)
+    return trees.common_ancestor(tours.tree_order(t.tree), sets)
 
 
 def block_records(t):
@@ -235,7 +235,7 @@ WITH keep AS (SELECT 'v' || (k % 60) AS view, sample_id AS node FROM samples), l
 SELECT k.view AS tree_id, k.node, parent, round(coalesce(len, 0), 6) AS branch_length, is_tip FROM kept k LEFT JOIN up USING (view, node)""", "closure samples")
 def restricted(t):
     keep = t.samples.select(F.concat(F.lit("v"), F.col("k") % 60).alias("view"), F.col("sample_id").alias("node"))
-    out = trees.restrict_tree(t.tree, trees.ancestors(t.tree), keep)
+    out = trees.restrict_tree(tours.tree_order(t.tree), keep)
     return out.withColumn("branch_length", F.round("branch_length", 6))
 
 
@@ -246,7 +246,7 @@ UNION ALL SELECT tip, n, 'root@' || tip, round(lt, 6), false FROM rt UNION ALL S
 UNION ALL SELECT tip, node, parent, round(branch_length, 6), is_tip FROM tree, rt WHERE node NOT IN (tip, n, r, 'root')""", "tree")
 def rerooted(t):
     tips = t.samples.filter("k = 7").select(F.col("sample_id").alias("new_id"), F.col("sample_id").alias("tip"))
-    out = trees.reroot(t.tree, durable(trees.ancestors(t.tree)), tips)
+    out = trees.reroot(t.tree, tours.tree_order(t.tree), tips)
     return out.withColumn("branch_length", F.round("branch_length", 6))
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lineagespark.operators import clusters, distances, joins, network, ordination, selection, statistics, trees
+from lineagespark.operators import clusters, distances, joins, network, ordination, selection, statistics, tours, trees
 from lineagespark.plans import graphs
 from lineagespark.plans import ranking as plans
 
@@ -170,7 +170,7 @@ def test_parsimony_against_every_history(spark):
             best, histories = cost, []
         if cost == best:
             histories.append(full)
-    result = network.parsimony(tree, trees.ancestors(tree), observed)
+    result = network.parsimony(tree, tours.tree_depths(tree), observed)
     assert result["optimum"].first().changes == best
     allowed = {r.node: set(r.allowed) for r in result["states"].collect()}
     assert allowed == {n: {h[n] for h in histories} for n, _, _ in TREE}
@@ -184,10 +184,10 @@ def test_parsimony_against_every_history(spark):
 def test_rerooting_keeps_distances(spark):
     tree = tree_table(spark)
     roots = spark.createDataFrame([("new", "t3")], "new_id string, tip string")
-    out = trees.reroot(tree, trees.ancestors(tree), roots)
+    out = trees.reroot(tree, tours.tree_order(tree), roots)
     tips = [n for n, _, _ in TREE if n[0] == "t"]
     pairs = spark.createDataFrame(list(itertools.combinations(tips, 2)), "sample_a string, sample_b string")
-    read = lambda t: {(r.sample_a, r.sample_b): round(r.distance, 9) for r in trees.patristic(pairs, trees.root_paths(t)).collect()}
+    read = lambda t: {(r.sample_a, r.sample_b): round(r.distance, 9) for r in trees.patristic(pairs, tours.tree_order(t)).collect()}
     assert read(tree) == read(out)
     assert trees.tree_problems(out).count() == 0
 
