@@ -316,12 +316,14 @@ def genome_profile(intervals: DataFrame, masks: DataFrame, length: int, bins: in
 
 
 def import_summary(intervals: DataFrame, records: DataFrame) -> DataFrame:
-    """One row: intervals, branches, merged sites and intervals over a record boundary."""
+    """One row: intervals, branches, merged sites, intervals over a record boundary, the ten longest."""
     islands = covered_islands(intervals).agg(F.coalesce(F.sum(F.col("end") - F.col("start") + 1), F.lit(0)).alias("merged_sites"))
     counts = intervals.agg(F.count(F.lit(1)).alias("intervals"), F.countDistinct("node").alias("branches"), F.max(F.col("end") - F.col("start") + 1).alias("longest"))
     touched = interval_segments(intervals, records).groupBy("start", "end").agg(F.count(F.lit(1)).alias("n"), F.max("copies").alias("copies"))
     crossing = touched.filter("n > 1").agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("boundary_crossing"))
-    return counts.crossJoin(islands).crossJoin(crossing)
+    text = F.concat_ws(":", "node", "start", "length")
+    ten = longest_intervals(intervals).agg(F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("l"), "node", "start", text.alias("text")))).alias("_ten"))
+    return counts.crossJoin(islands).crossJoin(crossing).crossJoin(ten.select(F.array_join("_ten.text", ",").alias("longest_ten")))
 
 
 def longest_intervals(intervals: DataFrame, n: int = 10) -> DataFrame:

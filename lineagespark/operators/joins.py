@@ -260,21 +260,34 @@ def record_bounds(lengths: DataFrame, width_of_chunk: int = 1 << 20) -> DataFram
     )
 
 
-def interval_segments(intervals: DataFrame, records: DataFrame, bin_width: int = 100_000) -> DataFrame:
+def _nested_bins(rows: DataFrame, start: str, end: str, others: DataFrame) -> DataFrame:
+    """Rows in the bins of their own level and of the coarser levels in ``others(_level)``."""
+    coarser = F.broadcast(others.agg(F.collect_set("_level").alias("_others")))  # one row, at most 64 numbers
+    levels = F.array_union(F.array("_level"), F.filter("_others", lambda x: x > F.col("_level")))
+    at = rows.crossJoin(coarser).withColumn("_at", F.explode(levels)).drop("_others")
+    return at.withColumn("_bin", F.explode(F.expr(f"sequence(shiftright({start} - 1, _at), shiftright({end} - 1, _at))")))
+
+
+def interval_segments(intervals: DataFrame, records: DataFrame) -> DataFrame:
     """Local coordinates of each interval on each record it touches.
 
-    Range join as an equi-join on coordinate bins; a pair that meets in several bins is kept
-    in the bin where its overlap starts, so nothing repeats. Equal intervals are joined once.
+    Range join as an equi-join on nested bins: an interval belongs to bins of the smallest power of
+    two above its length, at most two of them. A pair meets at the coarser level of the two, in the
+    bin where its overlap starts, so nothing repeats. Equal intervals are joined once; intervals that
+    end before they start touch nothing.
     """
-    bins = lambda s, e: F.explode(F.sequence(F.floor((F.col(s) - 1) / bin_width), F.floor((F.col(e) - 1) / bin_width)))
-    spans = intervals.groupBy("start", "end").agg(F.count(F.lit(1)).alias("copies"))
-    left = spans.withColumn("_bin", bins("start", "end"))
-    right = records.select("name", F.col("start").alias("_rs"), F.col("end").alias("_re")).withColumn("_bin", bins("_rs", "_re"))
+    def sized(rows, start, end):
+        return rows.filter(F.col(start) <= F.col(end)).withColumn("_level", F.length(F.bin(F.col(end) - F.col(start))))
+
+    spans = sized(intervals.groupBy(F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end")).agg(F.count(F.lit(1)).alias("copies")), "start", "end")
+    targets = sized(records.select("name", F.col("start").cast("bigint").alias("_rs"), F.col("end").cast("bigint").alias("_re")), "_rs", "_re")
+    left = _nested_bins(spans, "start", "end", targets)
+    right = _nested_bins(targets, "_rs", "_re", spans).withColumnRenamed("_level", "_other")
     low, high = F.greatest("start", "_rs"), F.least("end", "_re")
-    joined = left.join(right, "_bin").filter((low <= high) & (F.floor((low - 1) / bin_width) == F.col("_bin")))
-    return joined.select(
-        "start", "end", "copies", "name", (low - F.col("_rs") + 1).alias("local_start"), (high - F.col("_rs") + 1).alias("local_end")
+    joined = left.join(right, ["_at", "_bin"]).withColumn("_low", low).filter(
+        (F.col("_low") <= high) & (F.col("_at") == F.greatest("_level", "_other")) & (F.expr("shiftright(_low - 1, _at)") == F.col("_bin"))
     )
+    return joined.select("start", "end", "copies", "name", (F.col("_low") - F.col("_rs") + 1).alias("local_start"), (high - F.col("_rs") + 1).alias("local_end"))
 
 
 def annotate_intervals(intervals: DataFrame, records: DataFrame) -> DataFrame:

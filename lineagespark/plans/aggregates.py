@@ -195,7 +195,8 @@ def mask_sites(t):
 
 @query("A17", """
 SELECT count(*) AS intervals, count(DISTINCT node) AS branches, max(e - s + 1) AS longest, (SELECT count(DISTINCT p) FROM (SELECT DISTINCT s, e FROM intervals), range(0, 50) r(o), LATERAL (SELECT s + o AS p) WHERE p <= e) AS merged_sites,
-  (SELECT CAST(sum(c) AS BIGINT) FROM (SELECT s, e, count(*) AS c FROM intervals GROUP BY ALL) i WHERE (SELECT count(*) FROM records r WHERE i.s <= r.e AND i.e >= r.s) > 1) AS boundary_crossing
+  (SELECT CAST(sum(c) AS BIGINT) FROM (SELECT s, e, count(*) AS c FROM intervals GROUP BY ALL) i WHERE (SELECT count(*) FROM records r WHERE i.s <= r.e AND i.e >= r.s) > 1) AS boundary_crossing,
+  (SELECT string_agg(node || ':' || s || ':' || (e - s + 1), ',' ORDER BY e - s + 1 DESC, node, s) FROM (SELECT * FROM intervals ORDER BY e - s + 1 DESC, node, s LIMIT 10)) AS longest_ten
 FROM intervals""", "intervals records")
 def imports(t):
     return aggregates.import_summary(t.intervals, t.records)
