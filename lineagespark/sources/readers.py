@@ -44,8 +44,11 @@ def _repeats(df: DataFrame, keys: list[str]) -> DataFrame:
 METADATA_COLUMNS = ["sample_id", "assembly", "collection_date", "location", "species", "lineage", "origin"]
 
 
-def read_metadata(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Sample sheet: required columns, trimmed, unique safe ids, filled fields, known dates."""
+def read_metadata(spark: SparkSession, path: str, undated: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Sample sheet: required columns, trimmed, unique safe ids, filled fields, known dates.
+
+    ``undated`` is the sheet's own word for a sample that has no date to judge; an empty date is still rejected.
+    """
     raw = require(read_table(spark, path), METADATA_COLUMNS)
     trimmed = raw.select(*[clean(c).alias(c) for c in raw.columns])
     for optional in ("is_reference", "patient_id"):
@@ -57,7 +60,7 @@ def read_metadata(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         ("unsafe_sample_id", ~safe_identifier("sample_id")),
         ("duplicate_sample_id", F.col("_copies") > 1),
         ("no_assembly", F.col("assembly") == ""),
-        ("unsupported_collection_date", ~date_is_accepted("collection_date")),
+        ("unsupported_collection_date", ~date_is_accepted("collection_date") & (F.lit(True) if undated is None else F.col("collection_date") != undated)),
         *[(f"empty_{c}", F.col(c) == "") for c in ("location", "species", "lineage", "origin")],
         ("invalid_is_reference", flag.isNull()),
     ]
