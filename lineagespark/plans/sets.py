@@ -57,7 +57,7 @@ def total_order(t):
     """Position inside each country under a total order, as the ordered output would list it."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy("country").orderBy("first_day", F.desc("n50"), "sample_id")
+    order = Window.partitionBy("country").orderBy(F.asc_nulls_last("first_day"), F.desc_nulls_last("n50"), "sample_id")
     return sets.ordered(t.samples.select("sample_id", "country", F.row_number().over(order).alias("position")), ["country", "position"], "sample_id")
 
 
