@@ -46,3 +46,16 @@ def test_nearest_reads_its_pairs_once(spark):
 
     out = ranking.nearest_within_tolerance(pairs.mapInArrow(count, pairs.schema), "d", 1).select("sample_id", "other")
     assert {tuple(r) for r in out.collect()} == {("a", "b"), ("b", "a"), ("c", "a"), ("c", "b")} and seen.value == 3
+
+
+def test_a_row_is_sent_once_per_block_not_once_per_tile(spark, monkeypatch):
+    calls, _ = long_calls(spark)
+    profiles = distances.encode_profiles(calls)
+    sent = []
+    spread = distances._spread_tiles
+    monkeypatch.setattr(distances, "_spread_tiles", lambda df: sent.append(df.count()) or spread(df))
+    cut = {tuple(r) for r in distances.close_pairs(profiles, 0.8, 1.0, tile=3).collect()}
+    monkeypatch.setattr(distances, "BLOCK", 7)
+    assert {tuple(r) for r in distances.close_pairs(profiles, 0.8, 1.0, tile=3).collect()} == cut and cut
+    assert {tuple(r) for r in distances.close_pairs(profiles, 0.8, 1.0).collect()} == cut
+    assert sent[0] == profiles.count() < sent[1]
