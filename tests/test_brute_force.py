@@ -67,6 +67,36 @@ def test_complete_linkage_in_task_and_in_rounds(spark, task_members):
     assert {r.sample_id: r.group_id for r in out.collect()} == want
 
 
+def test_bootstrap_support_with_copies(spark):
+    """A resample gives some profiles copies; each sample has one label a replicate all the same."""
+    df, ids, codes = profiles(spark, n=30, missing=0.02, seed=9)
+    loci, reps, seed = codes.shape[1], 6, 3
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("r"), F.col("d").cast("int")), F.lit(loci)).cast("int")
+    rows = spark.range(1, reps + 1).select(F.col("id").cast("int").alias("r")).crossJoin(spark.range(loci).toDF("d")).select("r", "d", draw.alias("i")).collect()
+    at = {(r.r, r.d): r.i for r in rows}
+
+    def linked(c):
+        matrix, broken = np.full((30, 30), np.inf), False
+        for i, j in itertools.combinations(range(30), 2):
+            d, s = evidence(c[i], c[j])
+            if s / loci >= 0.5:
+                matrix[i, j] = matrix[j, i] = d / s
+            else:
+                broken = True
+        return None if broken else greedy_linkage(ids, matrix, 0.5)
+
+    base = linked(codes)
+    valid = [g for g in (linked(codes[:, [at[r, d] for d in range(loci)]]) for r in range(1, reps + 1)) if g]
+    want = {}
+    for group in set(base.values()):
+        inside = [s for s in ids if base[s] == group]
+        support = [np.mean([g[a] == g[b] for g in valid]) for a, b in itertools.combinations(inside, 2)]
+        want[group] = (len(inside), len(valid), round(float(min(support)), 9) if support else None)
+    out = clusters.bootstrap_support(df, 0.5, 0.5, reps, seed).collect()
+    assert len(valid) > 1 and any(v[2] not in (None, 0.0, 1.0) for v in want.values())
+    assert {r.group_id: (r.members, r.valid_replicates, None if r.minimum_pair_support is None else round(r.minimum_pair_support, 9)) for r in out} == want
+
+
 @pytest.mark.parametrize("task_pairs", [1_000_000, 1])
 def test_first_fit_cohorts(spark, task_pairs):
     df, ids, codes = profiles(spark, n=30, missing=0.2, seed=5, copies=False)
