@@ -249,6 +249,16 @@ def test_ordination_matches_dense(spark, tile):
         assert (next(r for r in table if r.scope_id == scope).rounds > 0) == (tile < n)
 
 
+def test_ordination_of_bounded_scopes_takes_no_rounds(spark):
+    """M4: several tiles of a scope that one task can hold are solved at once, with the same axes."""
+    df, _, _ = profiles(spark, n=40, missing=0.0, seed=2, copies=False)
+    coords, report = ordination.leading_axes(df, 0.3, tile=16, whole=40)
+    rounds, _ = ordination.leading_axes(df, 0.3, tile=16)
+    assert {r.rounds for r in report.collect()} == {0}
+    want = {r.sample_id: r for r in rounds.collect()}
+    assert all(abs(abs(r[f"axis_{k}"]) - abs(want[r.sample_id][f"axis_{k}"])) < 1e-6 for r in coords.collect() for k in (1, 2))
+
+
 def test_ordination_refuses_missing_pairs_and_too_few_rounds(spark):
     df, _, codes = profiles(spark, n=40, missing=0.0, seed=2, copies=False)
     with pytest.raises(RuntimeError, match="no convergence"):
