@@ -268,16 +268,18 @@ def read_allele_sequences(spark: SparkSession, path: str, scope: dict[str, str])
     return valid.select("locus", "allele", F.upper("dna").alias("dna")), rejects.select("locus", "allele", "reason")
 
 
-def read_clock_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Rate, its error and R² from clock reports, one row per file, with a 95% rate interval.
+def read_clock_metrics(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
+    """Rate, its error and R² from clock reports, one row per report, with a 95% rate interval.
 
-    A file that lacks the rate or R² keeps a row that says so.
+    A file is one report, or with a ``separator`` holds many that end with it. ``report`` is the first line.
+    A report that lacks the rate or R² keeps a row that says so.
     """
-    text = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
+    reader = spark.read if separator is None else spark.read.option("lineSep", separator)
+    text = reader.text(path, wholetext=separator is None).withColumn("file", F.input_file_name())
     number = r"\s*([+-]?[0-9.]+(?:[eE][+-]?\d+)?)"
     pick = lambda pattern: F.regexp_extract("value", pattern, 1).try_cast("double")
     df = text.select(
-        "file", pick(r"(?i)--rate:" + number).alias("rate"),
+        "file", F.substring_index("value", "\n", 1).alias("report"), pick(r"(?i)--rate:" + number).alias("rate"),
         pick(r"(?i)--rate:" + number.replace("(", "(?:", 1) + r"\s*\+/-" + number).alias("rate_std"), pick(r"(?i)--r\^2:" + number).alias("r_squared"),
     )
     half = 1.96 * F.col("rate_std")
