@@ -50,7 +50,7 @@ def _rows(left, right, near, differences, shared):
     i, j = np.nonzero(near)
     a, b = _ordered_ids(left, right, i, j)
     return {
-        "sample_a": pa.array(a, pa.string()), "sample_b": pa.array(b, pa.string()), "allele_differences": pa.array(differences[i, j], pa.int32()),
+        "sample_a": a, "sample_b": b, "allele_differences": pa.array(differences[i, j], pa.int32()),
         "shared_called_loci": pa.array(shared[i, j], pa.int32()), "scheme_loci": pa.array(np.full(len(i), matrix_of(left, "codes").shape[1], np.int32)),
     }
 
