@@ -59,3 +59,55 @@ def test_a_row_is_sent_once_per_block_not_once_per_tile(spark, monkeypatch):
     assert {tuple(r) for r in distances.close_pairs(profiles, 0.8, 1.0, tile=3).collect()} == cut and cut
     assert {tuple(r) for r in distances.close_pairs(profiles, 0.8, 1.0).collect()} == cut
     assert sent[0] == profiles.count() < sent[1]
+
+
+def test_audit_and_maps_of_tiles_agree_with_those_of_listed_pairs(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    calls, _ = long_calls(spark)
+    profiles = distances.encode_profiles(calls).localCheckpoint()
+    pairs = distances.close_pairs(profiles, 0.8, 1.0).localCheckpoint()
+    number = lambda ids: np.array([int(x[1:]) for x in ids.to_pylist()], dtype=int)
+    k = F.col("sample_a").substr(2, 9).cast("int")
+
+    def change(e):
+        i = number(e["sample_a"])
+        return e | {"distance": np.where(i % 4 == 0, e["distance"] + 2, e["distance"]), "allele_differences": np.where(i % 4 == 1, e["shared_called_loci"] + 1, e["allele_differences"])}
+
+    listed = pairs.withColumn("distance", F.col("distance") + F.when(k % 4 == 0, 2).otherwise(0)).withColumn("allele_differences", F.when(k % 4 == 1, F.col("shared_called_loci") + 1).otherwise(F.col("allele_differences")))
+    cohort = profiles.select("sample_id", F.col("scope_id").alias("cohort_id"))
+    want = {tuple(r) for r in distances.audit_evidence(listed, cohort, 0.8).collect()}
+    assert len({r[2] for r in want}) == 3
+    assert {tuple(r) for r in distances.audit_tiles(profiles, cohort, 0.8, change, tile=7).collect()} == want
+
+    side = lambda a, b, more: pairs.select(F.col(a).alias("sample_id_1"), F.col(b).alias("sample_id_2"), (F.col("distance") + more).alias("distance"), F.when(k % 3 > 0, F.col("allele_differences")).alias("allele_differences"))
+    good, bad = distances.distance_maps(side("sample_a", "sample_b", 0).unionByName(side("sample_b", "sample_a", F.when(k % 5 == 0, 1).otherwise(0))))
+
+    def directions(e):
+        i = number(e["sample_a"])
+        raw = np.where(i % 3 > 0, e["allele_differences"], np.nan)
+        return (e["distance"], raw), (np.where(i % 5 == 0, e["distance"] + 1, e["distance"]), raw)
+
+    out = distances.distance_maps_of_tiles(profiles, 0.8, directions, tile=7)
+    assert {tuple(r) for r in out.filter("reason IS NULL").select(*good.columns).collect()} == {tuple(r) for r in good.collect()}
+    assert {tuple(r) for r in out.filter("reason IS NOT NULL").select(*bad.columns).collect()} == {tuple(r) for r in bad.collect()} != set()
+
+
+def test_audits_and_maps_write_no_list_of_pairs(spark, monkeypatch):
+    from lineagespark.plans import distances as plans, registry
+
+    written = []
+    keep = plans.durable
+    monkeypatch.setattr(plans, "durable", lambda df, name="step": written.append(keep(df, name)) or written[-1])
+    for key in ("D12", "D15"):
+        out = registry.QUERIES[key](spark, "/root/testdata/sf0.001")
+        assert "Exchange hashpartitioning(sample_a" not in out._jdf.queryExecution().toString()
+    assert written and all("sample_a" not in df.columns for df in written)
+
+
+def test_asymmetric_pairs_are_found_by_hash_and_told_by_name(spark):
+    rows = [("a", "b", 1, 4), ("b", "a", 1, 4), ("a", "c", 1, 4), ("c", "a", 2, 4), ("b", "c", 1, 4), ("c", "b", 1, 5)]
+    pairs = spark.createDataFrame([(a, b, d, s, 8, s / 8, d / s) for a, b, d, s in rows], "sample_a string, sample_b string, allele_differences int, shared_called_loci int, scheme_loci int, call_overlap double, distance double")
+    out = distances.audit_evidence(pairs, spark.createDataFrame([], "sample_id string, cohort_id string"), 0.1)
+    assert {tuple(r) for r in out.collect()} == {("a", "c", "asymmetric"), ("b", "c", "asymmetric")}
