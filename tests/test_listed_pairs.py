@@ -111,3 +111,21 @@ def test_asymmetric_pairs_are_found_by_hash_and_told_by_name(spark):
     pairs = spark.createDataFrame([(a, b, d, s, 8, s / 8, d / s) for a, b, d, s in rows], "sample_a string, sample_b string, allele_differences int, shared_called_loci int, scheme_loci int, call_overlap double, distance double")
     out = distances.audit_evidence(pairs, spark.createDataFrame([], "sample_id string, cohort_id string"), 0.1)
     assert {tuple(r) for r in out.collect()} == {("a", "c", "asymmetric"), ("b", "c", "asymmetric")}
+
+
+def test_fingerprint_of_pairs_tells_nulls_changes_and_repeats_but_not_order(spark):
+    from lineagespark.sources import sinks
+
+    of = lambda *rows: tuple(sinks.pairs_fingerprint(spark.createDataFrame(rows, "a string, b string, n int, m int")).first())
+    one, two = ("x", "y", 1, None), ("x", "z", 2, 3)
+    assert of(one, two) == of(two, one)
+    assert len({of(one, two), of(("x", "y", None, 1), two), of(("x", "y", 2, None), two), of(one, one, two), of(one, two, two), of(one)}) == 6
+
+
+def test_stored_pairs_are_not_spelt_as_json(spark, tmp_path):
+    from lineagespark.sources import sinks
+
+    calls, _ = long_calls(spark)
+    sinks.write_distances(distances.pair_distances(calls, 0.8), str(tmp_path / "p"), calls.select("sample_id").distinct(), "cgmlst", "d")
+    pairs, problems = sinks.load_distances(spark, str(tmp_path / "p"), 0.8)
+    assert "to_json" not in problems._jdf.queryExecution().toString() and problems.isEmpty() and not pairs.isEmpty()
