@@ -52,3 +52,18 @@ def test_distributed_rounds_link_what_no_task_may(spark):
     pairs = clusters.near_pairs(rows, 0.6, 0.5)
     one = {tuple(r) for r in clusters.complete_linkage(rows, pairs, 0.5).collect()}
     assert {tuple(r) for r in clusters.complete_linkage(rows, pairs, 0.5, task_members=2, task_pairs=0).collect()} == one
+
+
+def test_scopes_whose_poorest_profiles_must_overlap_need_no_tile(spark, monkeypatch):
+    from lineagespark.operators import clusters
+
+    rows = [("full", f"a{i}", [1, 2, 3, i + 1]) for i in range(9)]
+    rows += [("sure", f"b{i}", [0 if k == i % 4 else 1 for k in range(4)]) for i in range(9)]
+    rows += [("doubt", f"c{i}", [0, 0, 1, 1]) for i in range(9)]
+    rows += [("bad", "d0", [0, 0, 1, 1]), ("bad", "d1", [1, 1, 0, 0]), ("bad", "d2", [1, 1, 1, 1])]
+    profiles = spark.createDataFrame(rows, "scope_id string, sample_id string, codes array<int>")
+    seen = []
+    keep = clusters.tile_pairs
+    monkeypatch.setattr(clusters, "tile_pairs", lambda df, *a, **k: seen.extend(r[0] for r in df.select("scope_id").distinct().collect()) or keep(df, *a, **k))
+    assert {r.scope_id for r in clusters.incomparable_scopes(profiles, 0.5).collect()} == {"bad"}
+    assert set(seen) == {"doubt", "bad"}
