@@ -402,3 +402,16 @@ def test_suffixes_tell_texts_of_equal_check_sum_apart(spark):
     assert pair
     docs = spark.createDataFrame([(None, pair[0]), (None, pair[1]), (5, "<" + shared + ">")], "doc_id long, text string")
     assert sorted(r["n_removed"] for r in op06_suffixes.repeat_report(docs).collect()) == [0, 450, 450]
+
+
+def test_signatures_come_in_lots_that_share_no_key_and_miss_none(spark):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, 40).astype(np.uint64)) for _ in range(12)]
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate([*sets, *sets[:3]])], "id long, elements binary")
+    lots = [{tuple(r) for r in op04_jaccard.signature_rows(df, 80, lot).collect()} for lot in range(op04_jaccard.LOTS)]
+    want = {(int(k), i) for i, x in enumerate([*sets, *sets[:3]]) for k in op04_jaccard.signatures(x, 0, 80) >> np.uint64(8)}
+    assert set().union(*lots) == want and len(lots) > 1 and all(lots)
+    keys = [{k for k, _ in lot} for lot in lots]
+    assert not keys[0] & keys[1]
+    members = op04_jaccard.shared_signatures(*[op04_jaccard.signature_rows(df, 80, lot) for lot in range(op04_jaccard.LOTS)]).collect()
+    assert {(r.id, r.weight) for r in members} == {(i, len(set(op04_jaccard.signatures(sets[i % 12], 0, 80) >> np.uint64(8)))) for i in (0, 1, 2, 12, 13, 14)}
